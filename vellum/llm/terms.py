@@ -1,74 +1,73 @@
 """Problem 4: how often every distinct term occurs and in how many records.
 
-Last-seen counters. Each batch of records is counted into (term, record, occurrences)
-before anything is shuffled. The shuffle goes by (term, slot), where the slot is a
-hash of the record, so that a term of every record is spread over the slots. Within a
-partition rows come in the order (term, slot, record), and a counter per term keeps
-occurrences, records and the last record seen, never a set of records. A record lies
-in one slot only, so the slots of a term add up exactly.
+Last-seen counters. Rows are put in the order of their records, so that a task sees a
+record whole before the next begins; a counter per term keeps occurrences, records and
+the last record it was seen in, never a set of records. Tasks give out their counters
+and these are hash-partitioned by term and added. The order is cut into ranges of
+(record, key), not hashed by record, so that a record that holds a third of all rows
+is spread over many tasks: only the first and the last record of a task can go on in
+another one, and of those the terms are given out with the record and counted once.
 """
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
 from collections.abc import Iterator
-from zlib import crc32
 
-import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.common import arrow_map, once
-
 _TERM = regex.compile(r"[\p{L}\p{M}]+")
-SLOTS = 64
+#: Counters that a task keeps before it gives them out and starts anew.
+HELD = 500_000
+
+
+def _batch(terms: list[str], records: list[str | None], occurrences: list[int], seen: list[int]) -> pa.RecordBatch:
+    columns = [pa.array(terms, pa.string()), pa.array(records, pa.string()), pa.array(occurrences, pa.int64()), pa.array(seen, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, names=["term", "shared", "occurrences", "records"])
 
 
-def _counted(cols: dict[str, list]) -> dict[str, list]:
-    counts: dict[str, Counter] = defaultdict(Counter)
-    for record, text in zip(cols["record"], cols["text"], strict=True):
-        counts[record].update(_TERM.findall(text.lower()))
-    out: dict[str, list] = {"term": [], "slot": [], "record": [], "n": []}
-    for record, terms in counts.items():
-        out["term"] += terms.keys()
-        out["n"] += terms.values()
-        out["slot"] += [crc32(record.encode()) % SLOTS] * len(terms)
-        out["record"] += [record] * len(terms)
-    return out
+def _open(counts: dict[str, int], record: str) -> pa.RecordBatch:
+    """Terms of a record that may go on in another task."""
+    return _batch(list(counts), [record] * len(counts), list(counts.values()), [0] * len(counts))
 
 
 def _last_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (term, slot, record, n) to (term, occurrences, records), one row for each run of a term."""
-    term, record, seen = None, None, [0, 0]
+    """Rows in the order (record, key) to counters; a key delivered again is skipped."""
+    counters: dict[str, list] = {}  # term: occurrences, records, number of the last record
+    edge: dict[str, int] = {}  # terms of the first record, then of the newest one until the next begins
+    record, key, number = None, None, 0
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        terms, records, n = batch.column("term"), batch.column("record"), batch.column("n").to_numpy()
-        new_term = np.ones(len(n), bool)
-        new_term[1:] = pc.not_equal(terms[1:], terms[:-1]).to_numpy(zero_copy_only=False)
-        new_term[0] = terms[0].as_py() != term
-        new_record = np.ones(len(n), bool)
-        new_record[1:] = pc.not_equal(records[1:], records[:-1]).to_numpy(zero_copy_only=False)
-        new_record[0] = records[0].as_py() != record
-        new_record |= new_term
-        starts = np.flatnonzero(new_term)
-        if not len(starts) or starts[0]:
-            starts = np.concatenate([[0], starts])
-        occurrences, distinct = np.add.reduceat(n, starts), np.add.reduceat(new_record.astype(np.int64), starts)
-        names = terms.take(pa.array(starts)).to_pylist()
-        if new_term[0] and term is not None:
-            names, occurrences, distinct = [term, *names], np.concatenate([[seen[0]], occurrences]), np.concatenate([[seen[1]], distinct])
-        elif term is not None:
-            occurrences[0] += seen[0]
-            distinct[0] += seen[1]
-        term, record, seen = names[-1], records[-1].as_py(), [int(occurrences[-1]), int(distinct[-1])]
-        if len(names) > 1:
-            yield pa.RecordBatch.from_arrays([pa.array(names[:-1]), pa.array(occurrences[:-1]), pa.array(distinct[:-1])], names=["term", "occurrences", "records"])
-    if term is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([term]), pa.array([seen[0]], pa.int64()), pa.array([seen[1]], pa.int64())], names=["term", "occurrences", "records"])
+        for r, k, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if r == record and k is not None and k == key:
+                continue
+            if r != record:
+                if number == 1 and edge:
+                    yield _open(edge, record)
+                elif number > 1:
+                    for term, n in edge.items():
+                        c = counters.get(term)
+                        if c is None:
+                            counters[term] = [n, 1, number]
+                        else:
+                            c[0] += n
+                            if c[2] != number:
+                                c[1] += 1
+                                c[2] = number
+                    if len(counters) > HELD:
+                        yield _batch(list(counters), [None] * len(counters), [c[0] for c in counters.values()], [c[1] for c in counters.values()])
+                        counters = {}
+                record, edge, number = r, {}, number + 1
+            key = k
+            if text:
+                get = edge.get
+                for term in _TERM.findall(text.lower()):
+                    edge[term] = get(term, 0) + 1
+    if edge:
+        yield _open(edge, record)
+    if counters:
+        yield _batch(list(counters), [None] * len(counters), [c[0] for c in counters.values()], [c[1] for c in counters.values()])
 
 
 def term_statistics(df: DataFrame, record: str = "doc", text: str = "text", key: str | None = "unit_id", rare: int = 3, common: float = 0.25) -> DataFrame:
@@ -76,18 +75,20 @@ def term_statistics(df: DataFrame, record: str = "doc", text: str = "text", key:
 
     A term is a longest run of letters and combining marks of the lower-cased text.
     mark is "rare" below `rare` occurrences or in one record only, else "common" in
-    more than the share `common` of all records, else null. With a key, each key
-    counts once. Null texts have no terms, but their records count; rows whose record
-    is null count as one unnamed record. An empty table gives no rows.
+    more than the share `common` of all records, else null. With a key, a key delivered
+    again within its record counts once; rows with a null key all count. Null texts have
+    no terms, but their records count; rows whose record is null count as one unnamed
+    record. An empty table gives no rows.
     """
-    cols = [F.coalesce(F.col(record), F.lit("")).alias("record"), F.col(text).alias("text")]
-    rows = df.select(*cols, *([F.col(key).alias("key")] if key else []))
+    rows = df.select(F.coalesce(F.col(record), F.lit("")).alias("record"), (F.col(key) if key else F.lit(None)).cast("string").alias("key"), F.col(text).alias("text"))
     every = rows.agg(F.count_distinct("record")).scalar()
-    rows = (once(rows, "key") if key else rows).where(F.col("text").isNotNull()).select("record", "text")
-    counted = arrow_map(rows, _counted, "term string, slot int, record string, n bigint")
-    ordered = counted.repartition("term", "slot").sortWithinPartitions("term", "slot", "record")
-    runs = ordered.mapInArrow(_last_seen, "term string, occurrences bigint, records bigint")
-    totals = runs.groupBy("term").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
+    spread = F.when(F.col("key").isNull(), F.xxhash64("text"))  # rows without a key can be spread too
+    ordered = rows.repartitionByRange("record", "key", spread).sortWithinPartitions("record", "key")
+    counted = ordered.mapInArrow(_last_seen, "term string, shared string, occurrences bigint, records bigint")
+    # a shared record counts one for each of its terms, whatever number of tasks gave it out
+    shared = counted.where("shared is not null").groupBy("term", "shared").agg(F.sum("occurrences").alias("occurrences"), F.lit(1).cast("bigint").alias("records"))
+    parts = counted.where("shared is null").select("term", "occurrences", "records").unionByName(shared.select("term", "occurrences", "records"))
+    totals = parts.groupBy("term").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
     is_rare = (F.col("occurrences") < rare) | (F.col("records") == 1)
     return totals.withColumn("mark", F.when(is_rare, "rare").when(F.col("records") > F.lit(common) * every, "common"))
 
