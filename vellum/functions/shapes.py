@@ -22,6 +22,7 @@ WIDTH = {chr(c + 0xFEE0): chr(c) for c in range(0x21, 0x7F)}
 
 _PLAIN = str.maketrans(WIDTH | dict.fromkeys(SPACES, " ") | dict.fromkeys(IGNORABLE))
 _ALIKE = str.maketrans(LOOKALIKE)
+_HAS_ALIKE = re.compile("[" + "".join(LOOKALIKE) + "]")
 _ODD = re.compile("[^\x00-\x7fÀ-ÖØ-öø-ƿḀ-ỿ]")
 
 
@@ -38,4 +39,5 @@ def latin_shape(text: str) -> str:
     """plain_shape with every look-alike replaced, whatever the word: for comparing, not for keeping."""
     if text.isascii():
         return text
-    return plain_shape(text).translate(_ALIKE)
+    text = plain_shape(text)
+    return text.translate(_ALIKE) if _HAS_ALIKE.search(text) else text

@@ -29,8 +29,8 @@ _BASE = {c: unicodedata.normalize("NFD", c)[0] for c in LETTERS} | {"đ": "d", "
 FOLD = str.maketrans(_BASE)
 
 #: Onsets and toneless rimes of Vietnamese syllables (fixed values of the orthography).
-_ONSETS = "ngh ng nh ch gh gi kh ph qu th tr b c d đ g h k l m n p r s t v x".split()
-_RIMES = frozenset(
+ONSETS = "ngh ng nh ch gh gi kh ph qu th tr b c d đ g h k l m n p r s t v x".split()
+RIMES = frozenset(
     """a ac ach ai am an ang anh ao ap at au ay ăc ăm ăn ăng ăp ăt âc âm ân âng âp ât âu ây
     e ec em en eng eo ep et ê êch êm ên ênh êp êt êu i ia ich im in inh ip it iu iêc iêm iên iêng iêp iêt iêu
     o oc oi om on ong op ot oa oac oach oai oam oan oang oanh oao oap oat oay oăc oăm oăn oăng oăt oe oen oeo oet ooc oong
@@ -47,10 +47,10 @@ def is_syllable(word: str) -> bool:
     if sum(c in TONES for c in plain) > 1:
         return False
     bare = unicodedata.normalize("NFC", "".join(c for c in plain if c not in TONES))
-    if bare in _RIMES:
+    if bare in RIMES:
         return True
-    for onset in _ONSETS:
-        if bare.startswith(onset) and (bare[len(onset) :] in _RIMES or (onset == "gi" and bare == "gi")):
+    for onset in ONSETS:
+        if bare.startswith(onset) and (bare[len(onset) :] in RIMES or (onset == "gi" and bare == "gi")):
             return True
     return False
 
