@@ -11,11 +11,13 @@ number) come to the driver. Viterbi then decodes each page.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.functions.shapes import latin_shape
@@ -38,6 +40,10 @@ _FOREIGN = frozenset("the of and is are be by with for shall which its this that
 SYMBOLS = (3, 4, 5, 4, 4, 3, 3)
 
 
+_SYMBOL = re.compile(r"[^\w\s.,;:?!()\"“”'/-]")
+_NUMBER = re.compile(r"(?:[.,%()|-]*\d[\d.,]*[.,%()|-]*|[-|])\Z")
+
+
 def features(text: str) -> tuple[list[int], dict[str, float]]:
     """Symbols of a line (lead, end, words, numbers, words known, cells, first letter) and its counts."""
     line = latin_shape(text)
@@ -45,16 +51,15 @@ def features(text: str) -> tuple[list[int], dict[str, float]]:
     tokens = line.split()
     words = _WORD.findall(line)
     known = sum(1 for w in words if is_syllable(w.lower()) or w.lower() in _FOREIGN)
-    numbers = sum(1 for t in tokens if t.strip(".,%()|-").replace(".", "").replace(",", "").isdigit() or t in "-|")
-    solid = [c for c in line if not c.isspace()]
-    letters = sum(c.isalpha() for c in solid)
-    symbols = sum(not c.isalnum() and c not in ".,;:?!()-\"“”'/" for c in solid)
-    leaders = bool(_LEADERS.search(line))
+    numbers = sum(1 for t in tokens if _NUMBER.match(t))
+    solid = sum(map(len, tokens))
+    symbols = len(_SYMBOL.findall(line))
+    leaders = _LEADERS.search(line)
     tail = 3 if leaders else 2 if _INDEX.search(line) else 1 if _END.search(line) else 0
     count = len(words)
     share = known / max(1, count)
     spread = numbers / max(1, len(tokens))
-    noise = symbols / max(1, len(solid))
+    noise = symbols / max(1, solid)
     cells = len(_CELLS.findall(line.strip()))
     first = words[0][0] if words else "1"
     out = [
@@ -62,11 +67,11 @@ def features(text: str) -> tuple[list[int], dict[str, float]]:
         tail,
         0 if count == 0 else 1 if count <= 3 else 2 if count <= 7 else 3 if count <= 11 else 4,
         0 if spread < 0.15 else 1 if spread < 0.35 else 2 if spread < 0.6 else 3,
-        0 if share >= 0.75 and noise < 0.15 and count else 1 if share >= 0.5 and noise < 0.25 and count else 2 if letters else 3,
+        0 if share >= 0.75 and noise < 0.15 and count else 1 if share >= 0.5 and noise < 0.25 and count else 2 if count else 3,
         0 if cells == 0 else 1 if cells < 3 else 2,
         0 if first.islower() else 1 if first.isupper() else 2,
     ]
-    return out, {"words": count, "letters": sum(map(len, words)), "symbols": symbols, "chars": len(solid), "known": known, "ends": int(tail == 1)}
+    return out, {"words": count, "letters": sum(map(len, words)), "symbols": symbols, "chars": solid, "known": known, "ends": int(tail == 1)}
 
 
 def first_label(f: list[int], page_number: bool = False) -> int:
@@ -83,93 +88,134 @@ def first_label(f: list[int], page_number: bool = False) -> int:
     return 0
 
 
-def _symbols(cols: dict[str, list]) -> dict[str, list]:
-    out: dict[str, list] = {"doc": cols["doc"], "page": cols["page"], "line_no": cols["line_no"], "id": cols["id"], "conf": cols["conf"]}
-    rows = [(*features(t), bool(_PAGE.match(t))) for t in cols["text"]]
-    out["f"] = [f for f, _, _ in rows]
-    out["plain"] = [p for *_, p in rows]
-    out["first"] = [first_label(f, p) for f, _, p in rows]
-    for name in ("words", "letters", "symbols", "chars", "known", "ends"):
-        out[name] = [c[name] for _, c, _ in rows]
-    return out
+COUNTS = ("words", "letters", "symbols", "chars", "known", "ends")
+#: Code of a line that is only a page number, which says nothing of its label.
+NUMBER = -1
+
+
+def _code(f: list[int]) -> int:
+    code = 0
+    for s, n in zip(f, SYMBOLS, strict=True):
+        code = code * n + s
+    return code
+
+
+def _features_of(code: int) -> list[int]:
+    out = []
+    for n in reversed(SYMBOLS):
+        code, s = divmod(code, n)
+        out.append(s)
+    return out[::-1]
 
 
-_LINE = "doc string, page int, line_no int, id bigint, conf double, f array<int>, plain boolean, first int, words bigint, letters bigint, symbols bigint, chars bigint, known bigint, ends bigint"
+def _symbols(cols: dict[str, list]) -> dict[str, list]:
+    rows = [features(t) for t in cols["text"]]
+    out = dict(cols)
+    out["code"] = [NUMBER if _PAGE.match(t) else _code(f) for t, (f, _) in zip(cols["text"], rows, strict=True)]
+    return out | {name: [c[name] for _, c in rows] for name in COUNTS}
 
 
-def _model(lines: DataFrame) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """Log probabilities of first labels, of symbols given a label, and of a label given the one before."""
+def _pages(df: DataFrame, key: str, counts: bool) -> DataFrame:
+    """(doc, page, lines): the coded lines of each page in order, each line id once, in pieces of PIECE lines at most."""
+    rows = df.select("doc", "page", "line_no", F.col(key).cast("bigint").alias("id"), F.col("conf").cast("double").alias("conf"), "text")
+    rows = rows.where(F.col("doc").isNotNull() & F.col("text").rlike(r"\S"))
+    lines = arrow_map(rows, _symbols, "doc string, page int, line_no int, id bigint, conf double, code int, " + ", ".join(f"{c} bigint" for c in COUNTS))
+    fields = ["line_no", "id", "code", *(["conf", *COUNTS] if counts else [])]
+    piece = (F.col("line_no") / PIECE).cast("int").alias("piece")
+    return lines.groupBy("doc", "page", piece).agg(F.sort_array(F.collect_set(F.struct(*fields))).alias("lines"))
+
+
+def _count(cols: dict[str, list]) -> dict[str, list]:
+    """Steps between first labels (kind 0) and codes under them (kind 1)."""
+    seen: Counter = Counter()
+    for lines in cols["lines"]:
+        before = -1
+        for x in lines:
+            if x["code"] != NUMBER:
+                now = first_label(_features_of(x["code"]))
+                seen[0, before, now] += 1
+                seen[1, now, x["code"]] += 1
+                before = now
+    return {"kind": [k for k, _, _ in seen], "a": [a for _, a, _ in seen], "b": [b for _, _, b in seen], "n": list(seen.values())}
+
+
+def _model(pages: DataFrame) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Log probabilities of a page's first label, of symbols given a label, and of a label given the one before.
+
+    What comes to the driver is bounded by the product of SYMBOLS times the labels.
+    """
     k = len(LABELS)
-    seen = lines.where("not plain")
-    pairs = Window.partitionBy("doc", "page", (F.col("line_no") / PIECE).cast("int")).orderBy("line_no", "id")
-    steps = seen.select("first", F.lag("first").over(pairs).alias("before")).groupBy("before", "first").count()
-    emitted = seen.select("first", F.posexplode("f").alias("feature", "symbol")).groupBy("first", "feature", "symbol").count()
-    start, trans = np.ones(k), np.ones((k, k))
-    for r in steps.collect():  # at most (k + 1) * k rows
-        if r["before"] is None:
-            start[r["first"]] += r["count"]
+    start, trans, emit = np.ones(k), np.ones((k, k)), [np.full((k, n), 0.5) for n in SYMBOLS]
+    counted = arrow_map(pages.select("lines"), _count, "kind int, a int, b int, n bigint").groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
+    for r in counted.collect():
+        if r["kind"]:
+            for e, s in zip(emit, _features_of(r["b"]), strict=True):
+                e[r["a"], s] += r["n"]
+        elif r["a"] < 0:
+            start[r["b"]] += r["n"]
         else:
-            trans[r["before"], r["first"]] += r["count"]
-    emit = [np.full((k, n), 0.5) for n in SYMBOLS]
-    for r in emitted.collect():  # at most k * sum(SYMBOLS) rows
-        emit[r["feature"]][r["first"], r["symbol"]] += r["count"]
-    # a floor keeps labels apart that a corpus of one kind would never leave
+            trans[r["a"], r["b"]] += r["n"]
+    # a floor keeps steps possible that a corpus of one kind would never take
     trans = trans / trans.sum(1, keepdims=True) * 0.9 + 0.1 / k
     return np.log(start / start.sum()), [np.log(e / e.sum(1, keepdims=True)) for e in emit], np.log(trans)
 
 
-def viterbi(rows: list[list[int]], plain: list[bool], model) -> list[int]:
-    """The most probable labels of lines in order; a line that is only a page number says nothing of its label."""
+def viterbi(codes: list[int], model, known: dict | None = None) -> list[int]:
+    """The most probable labels of lines in order."""
     start, emit, trans = model
-    if not rows:
+    if not codes:
         return []
-    score, back = start.copy(), []
-    for n, (f, p) in enumerate(zip(rows, plain, strict=True)):
+    known = {} if known is None else known
+    score, back = start.tolist(), []
+    steps = known.setdefault("steps", trans.T.tolist())
+    labels = range(len(score))
+    for n, code in enumerate(codes):
         if n:
-            paths = score[:, None] + trans
-            best = paths.argmax(0)
+            best, now = [], []
+            for to in steps:
+                at = max(labels, key=lambda i, to=to, score=score: score[i] + to[i])
+                best.append(at)
+                now.append(score[at] + to[at])
             back.append(best)
-            score = paths[best, np.arange(len(best))]
-        if not p:
-            for e, s in zip(emit, f, strict=True):
-                score = score + e[:, s]
-    at = int(score.argmax())
+            score = now
+        if code != NUMBER:
+            seen = known.get(code)
+            if seen is None:
+                seen = known[code] = [sum(e[i, s] for e, s in zip(emit, _features_of(code), strict=True)) for i in labels]
+            score = [a + b for a, b in zip(score, seen, strict=True)]
+    at = max(labels, key=lambda i: score[i])
     out = [at]
     for best in reversed(back):
-        at = int(best[at])
+        at = best[at]
         out.append(at)
     return out[::-1]
 
 
-def label_lines(df: DataFrame, key: str = "ocr_line_id") -> DataFrame:
-    """Every line with its label and counts: (doc, page, line_no, id, label, page_number, conf, words, ...).
+def label_lines(df: DataFrame, key: str = "ocr_line_id", counts: bool = True) -> DataFrame:
+    """Every line with its label: (doc, page, line_no, id, label, page_number), with counts also conf and COUNTS.
 
-    A line id counts once; null texts are empty lines and are left out, as are lines
-    without a document. Ties between labels go to the first of LABELS. A page is
+    A line id counts once; null and blank texts are no lines and are left out, as are
+    lines without a document. Ties between labels go to the first of LABELS. A page is
     decoded on its own, in pieces of PIECE lines, so that no document is collected whole.
     """
-    rows = df.select("doc", "page", "line_no", F.col(key).cast("bigint").alias("id"), F.col("conf").cast("double").alias("conf"), "text")
-    rows = rows.where(F.col("doc").isNotNull() & F.col("text").rlike(r"\S"))
-    lines = arrow_map(rows, _symbols, _LINE)
-    model = _model(lines)
-    parts = lines.groupBy("doc", "page", (F.col("line_no") / PIECE).cast("int").alias("piece")).agg(
-        F.sort_array(F.collect_set(F.struct("line_no", "id", "f", "plain", "first", "conf", "words", "letters", "symbols", "chars", "known", "ends"))).alias("lines")
-    )
+    pages = _pages(df, key, counts)
+    model = _model(_pages(df, key, False))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict = {}
         for batch in batches:
-            labels = []
-            for page in batch.column("lines").to_pylist():
-                labels.append(viterbi([x["f"] for x in page], [x["plain"] for x in page], model))
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("page"), batch.column("lines"), pa.array(labels, pa.list_(pa.int32()))], names=["doc", "page", "lines", "labels"])
-
-    kind = parts.schema["lines"].dataType.simpleString()
-    decoded = parts.select("doc", "page", "lines").mapInArrow(decode, f"doc string, page int, lines {kind}, labels array<int>")
+            lines = batch.column("lines")
+            codes = pc.struct_field(lines.flatten(), "code").to_pylist()
+            ends = np.cumsum(pc.list_value_length(lines).to_numpy(zero_copy_only=False)).tolist()
+            labels = [viterbi(codes[a:b], model, known) for a, b in zip([0, *ends], ends, strict=False)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("page"), lines, pa.array(labels, pa.list_(pa.int32()))], names=["doc", "page", "lines", "labels"])
+
+    kind = pages.schema["lines"].dataType.simpleString()
+    decoded = pages.select("doc", "page", "lines").mapInArrow(decode, f"doc string, page int, lines {kind}, labels array<int>")
     one = decoded.select("doc", "page", F.explode(F.arrays_zip("lines", "labels")).alias("x"))
     named = F.element_at(F.array(*map(F.lit, LABELS)), F.col("x.labels") + 1)
-    fields = [F.col(f"x.lines.{c}").alias(c) for c in ("line_no", "id", "conf", "words", "letters", "symbols", "chars", "known", "ends")]
-    out = one.select("doc", "page", *fields, named.alias("label"), F.col("x.lines.plain").alias("page_number"))
-    return out
+    fields = [F.col(f"x.lines.{c}").alias(c) for c in ("line_no", "id", *(("conf", *COUNTS) if counts else ()))]
+    return one.select("doc", "page", *fields, named.alias("label"), (F.col("x.lines.code") == NUMBER).alias("page_number"))
 
 
 def document_statistics(df: DataFrame, key: str = "ocr_line_id") -> DataFrame:
@@ -195,4 +241,5 @@ def document_statistics(df: DataFrame, key: str = "ocr_line_id") -> DataFrame:
 
 def found(df: DataFrame) -> DataFrame:
     """p2_found: documents of whose lines more than half are no running sentences."""
-    return document_statistics(df).where("prose_share < 0.5").select("doc")
+    lines = label_lines(df, counts=False).where("not page_number")
+    return lines.groupBy("doc").agg(F.avg((F.col("label") == "prose").cast("double")).alias("prose")).where("prose < 0.5").select("doc")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vellum.llm import boilerplate, encoding, lookalike, quality, terms
+from vellum.llm import boilerplate, encoding, lookalike, quality, scanfix, terms
 from vellum.llm.common import table
 
 
@@ -11,6 +11,7 @@ def queries() -> dict:
         "p1_found": lambda spark, d: boilerplate.found(table(spark, d, "doc_lines")),
         "p2_found": lambda spark, d: quality.found(table(spark, d, "ocr_lines")),
         "p5_found": lambda spark, d: lookalike.found(table(spark, d, "units"), table(spark, d, "ocr_lines")),
+        "p3_found": lambda spark, d: scanfix.found(table(spark, d, "ocr_lines"), table(spark, d, "units")),
         "p4_found": lambda spark, d: terms.found(table(spark, d, "units")),
         "p6_found": lambda spark, d: encoding.found(table(spark, d, "units")),
     }
