@@ -57,7 +57,10 @@ def is_syllable(word: str) -> bool:
 
 def strip_accents(text: str) -> str:
     """Base letters only; the stroke of đ goes too."""
-    return "".join(c for c in unicodedata.normalize("NFD", text.translate(FOLD)) if not unicodedata.combining(c))
+    if text.isascii():
+        return text
+    text = text.translate(FOLD)
+    return text if text.isascii() else "".join(c for c in unicodedata.normalize("NFD", text) if not unicodedata.combining(c))
 
 
 # --- Legacy font encodings (fixed values of the published code charts) ---------------------
