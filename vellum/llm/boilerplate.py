@@ -11,7 +11,6 @@ cover enough documents of the origin are removed.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
 from hashlib import blake2b
 
 from pyspark.sql import DataFrame
@@ -21,42 +20,39 @@ from vellum.functions.shapes import latin_shape
 from vellum.llm.common import arrow_map, once
 
 DEPTH = 3
-SLOT = "<*>"
-_TOKEN = re.compile(r"\d+|[^\W\d_]+|[^\w\s]|_")
-_CLOSING = re.compile(r"[\s.,;:!?…\"”’»)\]]+\Z")
+#: What stands for a number.
+SLOT = "0"
+_NUMBER = re.compile(r"\d+")
+_TOKEN = re.compile(r"0|[^\W\d_]+|[^\w\s]|_")
+_CLOSING = " \t\r\n.,;:!?…\"”’»)]"
 
 
-@lru_cache(maxsize=100_000)
 def template(text: str) -> str:
     """The wording of a line: numbers are slots; letter case, spacing, closing marks and character form do not count."""
     line = latin_shape(text).lower()
-    return " ".join(SLOT if t[0].isdigit() else t for t in _TOKEN.findall(_CLOSING.sub("", line) or line))
+    return " ".join(_TOKEN.findall(_NUMBER.sub(SLOT, line.rstrip(_CLOSING) or line)))
 
 
 class TokenTree:
-    """Templates under the path (origin, first DEPTH tokens), each with the documents it was seen in."""
+    """Templates under the path (origin, first DEPTH tokens), each with the documents it was seen in.
+
+    The inner levels have a fixed depth, so that a path is kept as one key.
+    """
 
     def __init__(self) -> None:
-        self.root: dict = {}
+        self.leaves: dict[tuple, dict[str, dict[str, None]]] = {}
 
     def add(self, origin: str, doc: str, line: str) -> None:
         found = template(line)
-        if not found:
-            return
-        node = self.root.setdefault(origin, {})
-        for token in [*found.split(" ")[:DEPTH], *[""] * DEPTH][:DEPTH]:
-            node = node.setdefault(token, {})
-        node.setdefault(found, {})[doc] = None
-
-    def leaves(self):
+        if found:
+            leaf = self.leaves.setdefault((origin, *found.split(" ", DEPTH)[:DEPTH]), {})
+            leaf.setdefault(found, {})[doc] = None
+
+    def templates(self):
         """(origin, template, documents) of every leaf."""
-        for origin, tree in self.root.items():
-            level = [tree]
-            for _ in range(DEPTH):
-                level = [child for node in level for child in node.values()]
-            for leaf in level:
-                for found, docs in leaf.items():
-                    yield origin, found, list(docs)
+        for path, leaf in self.leaves.items():
+            for found, docs in leaf.items():
+                yield path[0], found, docs
 
 
 def _key(found: str) -> bytes:
@@ -68,7 +64,7 @@ def _trees(cols: dict[str, list]) -> dict[str, list]:
     for origin, doc, text in zip(cols["origin"], cols["doc"], cols["text"], strict=True):
         tree.add(origin, doc, text)
     out: dict[str, list] = {"origin": [], "template": [], "doc": []}
-    for origin, found, docs in tree.leaves():
+    for origin, found, docs in tree.templates():
         out["origin"] += [origin] * len(docs)
         out["template"] += [_key(found)] * len(docs)
         out["doc"] += docs
