@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,13 +26,25 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared folder named in spark.checkpoint.dir.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, named in spark.checkpoint.dir; one of our own only where that is unset (tests)."""
+    global _own
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        _own = _own or tempfile.mkdtemp(prefix="vellum-")
+        folder = _own
+    return folder.rstrip("/")
 
-    Only a session without that setting (tests) gets a folder of its own.
+
+_own: str | None = None
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The frame as a table written to the shared folder and read again: lineage ends here, rows are computed once.
+
+    Unlike checkpoint() it computes nothing twice and later readers take only the
+    columns they need. A lost executor loses nothing of it.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="vellum-"))
-    return df.checkpoint()
+    path = f"{shared_folder(df.sparkSession)}/vellum/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
