@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from vellum.functions.shapes import latin_shape
 from vellum.functions.text import is_syllable
 from vellum.llm.common import arrow_map
+from vellum.session import written
 
 LABELS = ("prose", "list", "table", "junk")
 #: Lines of a page decoded together; a longer page is decoded in pieces.
@@ -44,23 +46,28 @@ _SYMBOL = re.compile(r"[^\w\s.,;:?!()\"“”'/-]")
 _NUMBER = re.compile(r"(?:[.,%()|-]*\d[\d.,]*[.,%()|-]*|[-|])\Z")
 
 
+@lru_cache(maxsize=200_000)
+def _known(word: str) -> bool:
+    return is_syllable(word) or word in _FOREIGN
+
+
 def features(text: str) -> tuple[list[int], dict[str, float]]:
     """Symbols of a line (lead, end, words, numbers, words known, cells, first letter) and its counts."""
     line = latin_shape(text)
     lead = _LEAD.match(line)
     tokens = line.split()
     words = _WORD.findall(line)
-    known = sum(1 for w in words if is_syllable(w.lower()) or w.lower() in _FOREIGN)
-    numbers = sum(1 for t in tokens if _NUMBER.match(t))
+    low = line.lower()
+    known = sum(map(_known, words if low == line else _WORD.findall(low)))
+    numbers = sum(1 for t in tokens if t[-1] in "0123456789%)|-.," and _NUMBER.match(t))
     solid = sum(map(len, tokens))
     symbols = len(_SYMBOL.findall(line))
-    leaders = _LEADERS.search(line)
-    tail = 3 if leaders else 2 if _INDEX.search(line) else 1 if _END.search(line) else 0
+    tail = 3 if "..." in line and _LEADERS.search(line) or "……" in line else 2 if line[-1:].isdigit() and _INDEX.search(line) else 1 if _END.search(line, max(0, len(line) - 4)) else 0
     count = len(words)
     share = known / max(1, count)
     spread = numbers / max(1, len(tokens))
     noise = symbols / max(1, solid)
-    cells = len(_CELLS.findall(line.strip()))
+    cells = len(_CELLS.findall(line.strip())) if "  " in line or "|" in line or "\t" in line else 0
     first = words[0][0] if words else "1"
     out = [
         0 if not lead else 1 if lead.group(1) else 2,
@@ -198,8 +205,8 @@ def label_lines(df: DataFrame, key: str = "ocr_line_id", counts: bool = True) ->
     lines without a document. Ties between labels go to the first of LABELS. A page is
     decoded on its own, in pieces of PIECE lines, so that no document is collected whole.
     """
-    pages = _pages(df, key, counts)
-    model = _model(_pages(df, key, False))
+    pages = written(_pages(df, key, counts))
+    model = _model(pages)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict = {}
