@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vellum.llm import boilerplate, encoding, leakage, lookalike, mixing, quality, scanfix, terms
+from vellum.llm import boilerplate, encoding, leakage, lookalike, mixing, pii, quality, scanfix, terms
 from vellum.llm.common import table
 
 
@@ -15,6 +15,7 @@ def queries() -> dict:
         "p4_found": lambda spark, d: terms.found(table(spark, d, "units")),
         "p6_found": lambda spark, d: encoding.found(table(spark, d, "units")),
         "p7_found": lambda spark, d: leakage.found(table(spark, d, "documents"), table(spark, d, "eval_items")),
+        "p9_found": lambda spark, d: pii.found(table(spark, d, "documents")),
         "p8_found": lambda spark, d: mixing.found(table(spark, d, "documents"), table(spark, d, "mix_targets")),
     }
 
