@@ -56,9 +56,9 @@ def features(text: str) -> tuple[list[int], dict[str, float]]:
     line = latin_shape(text)
     lead = _LEAD.match(line)
     tokens = line.split()
-    words = _WORD.findall(line)
-    low = line.lower()
-    known = sum(map(_known, words if low == line else _WORD.findall(low)))
+    begin = _WORD.search(line)
+    words = _WORD.findall(line.lower())
+    known = sum(map(_known, words))
     numbers = sum(1 for t in tokens if t[-1] in "0123456789%)|-.," and _NUMBER.match(t))
     solid = sum(map(len, tokens))
     symbols = len(_SYMBOL.findall(line))
@@ -68,7 +68,7 @@ def features(text: str) -> tuple[list[int], dict[str, float]]:
     spread = numbers / max(1, len(tokens))
     noise = symbols / max(1, solid)
     cells = len(_CELLS.findall(line.strip())) if "  " in line or "|" in line or "\t" in line else 0
-    first = words[0][0] if words else "1"
+    first = begin.group()[0] if begin else "1"
     out = [
         0 if not lead else 1 if lead.group(1) else 2,
         tail,
