@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.functions.columns import template
+from vellum.operators.ranking import summed_before
 
 
 def streaks(runs: DataFrame) -> DataFrame:
@@ -74,7 +75,7 @@ def explained(errors: DataFrame, rules: DataFrame, text: str = "detail") -> Data
     subquery, so that nothing is joined row by row.
     """
     listed = rules.agg(F.sort_array(F.collect_list(F.struct("ord", F.concat(F.lit("(?i)"), "match").alias("match"), "reason")))).scalar()
-    hit = F.try_element_at(F.filter(listed, lambda r: F.col(text).rlike(r["match"])), F.lit(1))
+    hit = F.try_element_at(F.filter(listed, lambda r: F.rlike(F.col(text), r["match"])), F.lit(1))
     return errors.withColumn("reason", hit["reason"])
 
 
@@ -91,5 +92,5 @@ def admitted(pages: DataFrame, budget_seconds: float, workers: int = 1) -> DataF
     running; what has started is finished.
     """
     deadline = max(budget_seconds - 45, budget_seconds / 2)
-    before = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -workers)
-    return pages.withColumn("_start", F.coalesce(F.sum("seconds").over(before), F.lit(0.0)) / workers).where(F.col("_start") < deadline).drop("_start")
+    rows = summed_before(pages, "rank", "seconds", "_before")
+    return rows.where(F.col("_before") / workers < deadline).drop("_before")

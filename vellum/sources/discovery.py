@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vellum.functions.columns import nfc, stem, suffix
+from vellum.operators.ranking import ranked
 from vellum.operators.structure import is_marker
 
 
@@ -111,7 +112,7 @@ def prioritised(candidates: DataFrame, progress: DataFrame) -> DataFrame:
     rows = candidates.join(progress.withColumnRenamed("key", "rel"), "rel", "left")
     opened = F.col("fraction").isNotNull()
     order = [opened.desc(), F.col("fraction").desc(), F.col("last_read").desc(), F.when(~opened, F.col("pages")), F.col("rel")]
-    return rows.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+    return ranked(rows, order)
 
 
 def missing_pages(documents: DataFrame, results: DataFrame) -> DataFrame:
