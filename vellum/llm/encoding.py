@@ -35,8 +35,8 @@ _MAC = _bytes_of("mac_roman")
 _CP1258 = {chr(b): b for b in range(128, 160)} | _bytes_of("cp1258")
 _READ_AS = (_CP1252, _MAC, _CP1258)
 
-#: Anything that a Vietnamese text of plain characters does not have.
-_SUSPECT = re.compile(rf"[^\x00-\x7f{LETTERS}“”‘’–—•…²]")
+#: What a Vietnamese text of plain characters is made of.
+_PLAIN = frozenset(map(chr, range(128))) | frozenset(LETTERS + "“”‘’–—•…²")
 _GAP = re.compile(r"([ \n\t\r]+)")
 _LOST = re.compile(r"�|[^\W\d_]\?+[^\W\d_]|(?:^|[\s(“\"])\?+[^\W\d_]|[^\W\d_]\?+ +(?=[a-zđ?])")
 _WORD = re.compile(r"[^\W\d_]+")
@@ -114,7 +114,7 @@ def repair(text: str | None, scanned: bool = False) -> tuple[str | None, str]:
     if not text:
         return text, ""
     kinds = {"lost"} if ("?" in text or "�" in text) and _LOST.search(text) else set()
-    if not _SUSPECT.search(text):
+    if _PLAIN.issuperset(text):
         return text, "+".join(kinds)
     pieces = _GAP.split(text)
     done = [mend(w) for w in pieces]

@@ -35,7 +35,7 @@ _INDEX = re.compile(r"(?:,\s*\d+)+\s*$")
 _LEADERS = re.compile(r"\.{4,}|(?:\. ){4,}|…{2,}")
 _END = re.compile(r"[.;:?!]\W*\Z")
 _CELLS = re.compile(r" {2,}|\||\t")
-_WORD = re.compile(r"[^\W\d_]+")
+_EDGES = ".,;:!?()[]{}<>\"'“”‘’«»|/\\-–—•*+=~^`_#°"
 _PAGE = re.compile(r"\W*(?:trang\s+)?\d+(?:\s*/\s*\d+)?\W*\Z", re.IGNORECASE)
 #: Frequent short words of other languages that are no Vietnamese syllables (fixed values).
 _FOREIGN = frozenset("the of and is are be by with for shall which its this that des les est une dans sur sans pour qui der die das und ist für von".split())
@@ -46,9 +46,14 @@ _SYMBOL = re.compile(r"[^\w\s.,;:?!()\"“”'/-]")
 _NUMBER = re.compile(r"(?:[.,%()|-]*\d[\d.,]*[.,%()|-]*|[-|])\Z")
 
 
-@lru_cache(maxsize=200_000)
-def _known(word: str) -> bool:
-    return is_syllable(word) or word in _FOREIGN
+@lru_cache(maxsize=300_000)
+def _token(token: str) -> tuple[int, int, int, int]:
+    """Of a token: whether it is a word, a known one, a number, and its letters."""
+    word = token.strip(_EDGES).lower()
+    number = int(bool(_NUMBER.match(token)))
+    if not word or not word[0].isalpha():
+        return 0, 0, number, 0
+    return 1, int(is_syllable(word) or word in _FOREIGN), number, len(word)
 
 
 def features(text: str) -> tuple[list[int], dict[str, float]]:
@@ -56,19 +61,20 @@ def features(text: str) -> tuple[list[int], dict[str, float]]:
     line = latin_shape(text)
     lead = _LEAD.match(line)
     tokens = line.split()
-    begin = _WORD.search(line)
-    words = _WORD.findall(line.lower())
-    known = sum(map(_known, words))
-    numbers = sum(1 for t in tokens if t[-1] in "0123456789%)|-.," and _NUMBER.match(t))
+    count = known = numbers = letters = 0
+    for a, b, c, d in map(_token, tokens):
+        count += a
+        known += b
+        numbers += c
+        letters += d
     solid = sum(map(len, tokens))
     symbols = len(_SYMBOL.findall(line))
     tail = 3 if "..." in line and _LEADERS.search(line) or "……" in line else 2 if line[-1:].isdigit() and _INDEX.search(line) else 1 if _END.search(line, max(0, len(line) - 4)) else 0
-    count = len(words)
     share = known / max(1, count)
     spread = numbers / max(1, len(tokens))
     noise = symbols / max(1, solid)
     cells = len(_CELLS.findall(line.strip())) if "  " in line or "|" in line or "\t" in line else 0
-    first = begin.group()[0] if begin else "1"
+    first = next((c for c in line if c.isalpha()), "1")
     out = [
         0 if not lead else 1 if lead.group(1) else 2,
         tail,
@@ -78,7 +84,7 @@ def features(text: str) -> tuple[list[int], dict[str, float]]:
         0 if cells == 0 else 1 if cells < 3 else 2,
         0 if first.islower() else 1 if first.isupper() else 2,
     ]
-    return out, {"words": count, "letters": sum(map(len, words)), "symbols": symbols, "chars": solid, "known": known, "ends": int(tail == 1)}
+    return out, {"words": count, "letters": letters, "symbols": symbols, "chars": solid, "known": known, "ends": int(tail == 1)}
 
 
 def first_label(f: list[int], page_number: bool = False) -> int:
@@ -115,21 +121,34 @@ def _features_of(code: int) -> list[int]:
     return out[::-1]
 
 
+def code_of(text: str) -> int:
+    """All symbols of a line as one number."""
+    return NUMBER if _PAGE.match(text) else _code(features(text)[0])
+
+
+def _codes(cols: dict[str, list]) -> dict[str, list]:
+    return cols | {"code": [code_of(t) for t in cols["text"]]}
+
+
 def _symbols(cols: dict[str, list]) -> dict[str, list]:
     rows = [features(t) for t in cols["text"]]
-    out = dict(cols)
-    out["code"] = [NUMBER if _PAGE.match(t) else _code(f) for t, (f, _) in zip(cols["text"], rows, strict=True)]
+    out = cols | {"code": [NUMBER if _PAGE.match(t) else _code(f) for t, (f, _) in zip(cols["text"], rows, strict=True)]}
     return out | {name: [c[name] for _, c in rows] for name in COUNTS}
 
 
-def _pages(df: DataFrame, key: str, counts: bool) -> DataFrame:
-    """(doc, page, lines): the coded lines of each page in order, each line id once, in pieces of PIECE lines at most."""
-    rows = df.select("doc", "page", "line_no", F.col(key).cast("bigint").alias("id"), F.col("conf").cast("double").alias("conf"), "text")
+def _coded(df: DataFrame, key: str, counts: bool) -> DataFrame:
+    """Lines of a document with a text, with their code, and with counts if asked for."""
+    rows = df.select("doc", "page", "line_no", F.col(key).cast("bigint").alias("id"), *([F.col("conf").cast("double").alias("conf")] if counts else []), "text")
     rows = rows.where(F.col("doc").isNotNull() & F.col("text").rlike(r"\S"))
-    lines = arrow_map(rows, _symbols, "doc string, page int, line_no int, id bigint, conf double, code int, " + ", ".join(f"{c} bigint" for c in COUNTS))
-    fields = ["line_no", "id", "code", *(["conf", *COUNTS] if counts else [])]
+    schema = "doc string, page int, line_no int, id bigint, code int"
+    return arrow_map(rows, _symbols, schema + ", conf double, " + ", ".join(f"{c} bigint" for c in COUNTS)) if counts else arrow_map(rows, _codes, schema)
+
+
+def _pages(coded: DataFrame) -> DataFrame:
+    """(doc, page, lines): the coded lines of each page in order, each line id once, in pieces of PIECE lines at most."""
+    fields = ["line_no", "id", "code", *[c for c in ("conf", *COUNTS) if c in coded.columns]]
     piece = (F.col("line_no") / PIECE).cast("int").alias("piece")
-    return lines.groupBy("doc", "page", piece).agg(F.sort_array(F.collect_set(F.struct(*fields))).alias("lines"))
+    return coded.groupBy("doc", "page", piece).agg(F.sort_array(F.collect_set(F.struct(*fields))).alias("lines"))
 
 
 def _count(cols: dict[str, list]) -> dict[str, list]:
@@ -198,14 +217,20 @@ def viterbi(codes: list[int], model, known: dict | None = None) -> list[int]:
     return out[::-1]
 
 
-def label_lines(df: DataFrame, key: str = "ocr_line_id", counts: bool = True) -> DataFrame:
-    """Every line with its label: (doc, page, line_no, id, label, page_number), with counts also conf and COUNTS.
+def label_lines(df: DataFrame, key: str = "ocr_line_id") -> DataFrame:
+    """Every line with its label: (doc, page, line_no, id, label, page_number, conf, COUNTS).
 
     A line id counts once; null and blank texts are no lines and are left out, as are
     lines without a document. Ties between labels go to the first of LABELS. A page is
     decoded on its own, in pieces of PIECE lines, so that no document is collected whole.
     """
-    pages = written(_pages(df, key, counts))
+    return labelled(_coded(df, key, True))
+
+
+def labelled(coded: DataFrame) -> DataFrame:
+    """Coded lines (doc, page, line_no, id, code, ...) with label and page_number."""
+    counts = "conf" in coded.columns
+    pages = written(_pages(coded))
     model = _model(pages)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,7 +271,12 @@ def document_statistics(df: DataFrame, key: str = "ocr_line_id") -> DataFrame:
     )
 
 
-def found(df: DataFrame) -> DataFrame:
-    """p2_found: documents of whose lines more than half are no running sentences."""
-    lines = label_lines(df, counts=False).where("not page_number")
+def no_prose(coded: DataFrame) -> DataFrame:
+    """(doc): documents of whose coded lines less than half are prose; page numbers do not count."""
+    lines = labelled(coded.select("doc", "page", "line_no", "id", "code")).where("not page_number")
     return lines.groupBy("doc").agg(F.avg((F.col("label") == "prose").cast("double")).alias("prose")).where("prose < 0.5").select("doc")
+
+
+def found(df: DataFrame, key: str = "ocr_line_id") -> DataFrame:
+    """p2_found: documents of whose lines more than half are no running sentences."""
+    return no_prose(_coded(df, key, False))
