@@ -52,7 +52,11 @@ def inbox_files(spark: SparkSession, inbox: str, batch: bool = False) -> DataFra
     files = reader.schema(shape).format("binaryFile").load(inbox)
     name = F.element_at(F.split(F.url_decode("path"), "/"), -1)
     rows = files.withColumn("name", name).where(is_candidate(F.col("name"))).withColumn("to", destination(F.col("name")))
-    return rows.select("path", "name", "length", F.col("modificationTime").alias("modified"), "content", "to.subject", "to.clean_name", "to.source")
+    rows = rows.select("path", "name", "length", F.col("modificationTime").alias("modified"), "content", "to.subject", "to.clean_name", "to.source")
+    if batch:
+        return rows
+    # the stream source takes a name with brackets for a pattern and then gives its neighbours again
+    return rows.withWatermark("modified", "7 days").dropDuplicatesWithinWatermark(["path", "modified"])
 
 
 def remove_patiently(path: Path, tries: int = 25, delay: float = 0.2, sleep: Callable[[float], None] = time.sleep) -> bool:
