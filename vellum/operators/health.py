@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from vellum.functions.columns import template
 from vellum.operators.ranking import summed_before
 
+#: Rules that one list may hold.
+RULES = 500
+
 
 def streaks(runs: DataFrame) -> DataFrame:
     """(task, first_fail, last_fail, fails, recovered): unbroken failures of each task, and the success that ended them.
@@ -71,12 +74,16 @@ def alerts(runs: DataFrame, after_minutes: int = 120, repeat_hours: int = 24) ->
 def explained(errors: DataFrame, rules: DataFrame, text: str = "detail") -> DataFrame:
     """errors with `reason`: that of the first rule (ord, match, reason) whose pattern occurs, in any letter case; null if none does.
 
-    The rules are a list kept by hand; they reach the rows as one array by a scalar
-    subquery, so that nothing is joined row by row.
+    The rules are a list kept by hand, of RULES entries at most; they become one
+    expression over each row, so that nothing is joined.
     """
-    listed = rules.agg(F.sort_array(F.collect_list(F.struct("ord", F.concat(F.lit("(?i)"), "match").alias("match"), "reason")))).scalar()
-    hit = F.try_element_at(F.filter(listed, lambda r: F.rlike(F.col(text), r["match"])), F.lit(1))
-    return errors.withColumn("reason", hit["reason"])
+    kept = rules.orderBy("ord").limit(RULES + 1).collect()
+    if len(kept) > RULES:
+        raise ValueError(f"more than {RULES} rules")
+    reason = F.lit(None).cast("string")
+    for r in reversed(kept):
+        reason = F.when(F.col(text).rlike("(?i)" + r["match"]), r["reason"]).otherwise(reason)
+    return errors.withColumn("reason", reason)
 
 
 def duration_text(minutes: Column) -> Column:
