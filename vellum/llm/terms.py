@@ -98,11 +98,12 @@ def found(units: DataFrame) -> DataFrame:
     return term_statistics(units).where("mark is not null").select("term", "mark")
 
 
-FOUND_SQL = r"""
+TERMS_SQL = r"""
 WITH u AS (SELECT unit_id, min(doc) AS doc, min(text) AS text FROM units GROUP BY unit_id),
 t AS (SELECT doc, unnest(regexp_extract_all(lower(text), '[\p{L}\p{M}]+')) AS term FROM u),
-s AS (SELECT term, count(*) AS occurrences, count(DISTINCT doc) AS records FROM t GROUP BY term),
-m AS (SELECT term, CASE WHEN occurrences < 3 OR records = 1 THEN 'rare'
-    WHEN records > 0.25 * (SELECT count(DISTINCT doc) FROM units) THEN 'common' END AS mark FROM s)
-SELECT term, mark FROM m WHERE mark IS NOT NULL
+s AS (SELECT term, count(*) AS occurrences, count(DISTINCT doc) AS records FROM t GROUP BY term)
+SELECT term, occurrences, records, CASE WHEN occurrences < 3 OR records = 1 THEN 'rare'
+  WHEN records > 0.25 * (SELECT count(DISTINCT doc) FROM units) THEN 'common' END AS mark FROM s
 """
+
+FOUND_SQL = f"SELECT term, mark FROM ({TERMS_SQL}) WHERE mark IS NOT NULL"
