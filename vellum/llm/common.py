@@ -36,8 +36,11 @@ def arrow_map(df: DataFrame, rows: Callable[[dict[str, list]], dict[str, list]],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = rows(batch.to_pydict())
+            cols = batch.to_pydict()
+            out = rows(cols)
             if out and len(next(iter(out.values()))):
-                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in target], names=[f.name for f in target])
+                # a column that is handed on as it came is not built again
+                same = {f.name for f in target if out[f.name] is cols.get(f.name) and batch.schema.field(f.name).type == f.type}
+                yield pa.RecordBatch.from_arrays([batch.column(f.name) if f.name in same else pa.array(out[f.name], f.type) for f in target], names=[f.name for f in target])
 
     return df.mapInArrow(run, schema)

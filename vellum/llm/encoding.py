@@ -104,6 +104,11 @@ def mend(word: str) -> tuple[str, str]:
     return word, "+".join(kinds)
 
 
+def is_plain(text: str) -> bool:
+    """Whether a text is made of plain Vietnamese characters only, and lost none."""
+    return _PLAIN.issuperset(text) and ("?" not in text or not _LOST.search(text))
+
+
 def repair(text: str | None, scanned: bool = False) -> tuple[str | None, str]:
     """(text restored as far as possible, kinds of damage joined by "+", empty if none).
 

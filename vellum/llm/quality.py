@@ -58,7 +58,11 @@ def _token(token: str) -> tuple[int, int, int, int]:
 
 def features(text: str) -> tuple[list[int], dict[str, float]]:
     """Symbols of a line (lead, end, words, numbers, words known, cells, first letter) and its counts."""
-    line = latin_shape(text)
+    f, count, letters, symbols, solid, known = _measured(latin_shape(text))
+    return f, {"words": count, "letters": letters, "symbols": symbols, "chars": solid, "known": known, "ends": int(f[1] == 1)}
+
+
+def _measured(line: str) -> tuple[list[int], int, int, int, int, int]:
     lead = _LEAD.match(line)
     tokens = line.split()
     count = known = numbers = letters = 0
@@ -84,7 +88,7 @@ def features(text: str) -> tuple[list[int], dict[str, float]]:
         0 if cells == 0 else 1 if cells < 3 else 2,
         0 if first.islower() else 1 if first.isupper() else 2,
     ]
-    return out, {"words": count, "letters": letters, "symbols": symbols, "chars": solid, "known": known, "ends": int(tail == 1)}
+    return out, count, letters, symbols, solid, known
 
 
 def first_label(f: list[int], page_number: bool = False) -> int:
@@ -121,18 +125,21 @@ def _features_of(code: int) -> list[int]:
     return out[::-1]
 
 
-def code_of(text: str) -> int:
-    """All symbols of a line as one number."""
-    return NUMBER if _PAGE.match(text) else _code(features(text)[0])
+def code_of(line: str) -> int:
+    """All symbols of a line in Latin letters as one number."""
+    if len(line) < 20 and _PAGE.match(line):
+        return NUMBER
+    a, b, c, d, e, f, g = _measured(line)[0]
+    return ((((((a * 4 + b) * 5 + c) * 4 + d) * 4) + e) * 3 + f) * 3 + g  # as _code(), with SYMBOLS written out
 
 
 def _codes(cols: dict[str, list]) -> dict[str, list]:
-    return cols | {"code": [code_of(t) for t in cols["text"]]}
+    return cols | {"code": [code_of(latin_shape(t)) for t in cols["text"]]}
 
 
 def _symbols(cols: dict[str, list]) -> dict[str, list]:
     rows = [features(t) for t in cols["text"]]
-    out = cols | {"code": [NUMBER if _PAGE.match(t) else _code(f) for t, (f, _) in zip(cols["text"], rows, strict=True)]}
+    out = cols | {"code": [NUMBER if len(t) < 20 and _PAGE.match(latin_shape(t)) else _code(f) for t, (f, _) in zip(cols["text"], rows, strict=True)]}
     return out | {name: [c[name] for _, c in rows] for name in COUNTS}
 
 
