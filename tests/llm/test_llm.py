@@ -175,7 +175,7 @@ def test_scan_noise(spark):
 def test_paragraphs(spark):
     lines, units = scan(spark)
     got = sorted(rows(scanfix.paragraphs(lines, units), "page", "text"))
-    assert got[0] == (1, "Bên bảo lãnh cần đình chỉ phụ lục không đồng tạm thời còn thiếu chữ ký do người thừa kế thực hiện.") and len(got) == 5
+    assert got[0] == (1, "Bên bảo lãnh cần đình chỉ phụ lục không đồng tạm thời còn thiếu chữ ký do người thừa kế thực hiện.") and len(got) == 4
 
 
 def test_readings_and_cuts():
