@@ -48,7 +48,7 @@ def _cost(text: str) -> int:
 
 
 #: What a round trip may end in: western letters, Greek, Cyrillic, marks, and typographic characters of running text.
-_PLAUSIBLE = re.compile(r"[\x00-\x7fÀ-ÖØ-öø-ɏ̀-ͯͰ-ӿḀ-ỿ“”‘’„–—•…²³°§«»\xa0]*\Z")
+_PLAUSIBLE = re.compile(r"[\x00-\x7fÀ-ÖØ-öø-ſƠơƯưŁł\u0300-\u0331Ά-ώЀ-џḀ-ỹ“”‘’„–—•…²³°§«»\xa0]*\Z")
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -65,7 +65,7 @@ def _utf8(word: str) -> str:
             if (now := _cost(step)) < cost or (best is None and now == cost and len(step) < len(word)):
                 best, cost = step, now
         if best is None:
-            return word if _PLAUSIBLE.match(word) and (_LETTER.search(word) or len(word) == 1) else given
+            return word if _PLAUSIBLE.match(word) and (len(_LETTER.findall(word)) > 1 or len(word) <= 3) else given
         word = best
 
 
