@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vellum.functions.shapes import latin_shape
-from vellum.llm.common import arrow_map, once
+from vellum.llm.common import arrow_map
 
 DEPTH = 3
 #: What stands for a number.
@@ -72,8 +72,8 @@ def _trees(cols: dict[str, list]) -> dict[str, list]:
 
 
 def _keys(cols: dict[str, list]) -> dict[str, list]:
-    found = [template(t) for t in cols["text"]]
-    return {"line_id": cols["line_id"], "origin": cols["origin"], "template": [_key(f) if f else None for f in found]}
+    found = [template(t) if t else "" for t in cols["text"]]
+    return cols | {"template": [_key(f) if f else None for f in found]}
 
 
 def repeated_lines(lines: DataFrame, share: float = 0.2, least: int = 3) -> DataFrame:
@@ -85,28 +85,41 @@ def repeated_lines(lines: DataFrame, share: float = 0.2, least: int = 3) -> Data
     collected anywhere: a hot origin is spread over its templates, and each template
     reaches the shuffle once per batch and document.
     """
-    rows = lines.select("line_id", "origin", "doc", "text").where("origin is not null and doc is not null")
+    text = lines.where("origin is not null and doc is not null and text is not null").select("line_id", "origin", "text")
+    keyed = arrow_map(text, _keyed, "line_id bigint, origin string, template binary")
+    return keyed.join(_covering(lines, share, least), ["origin", "template"], "left_semi").select("line_id").distinct()
+
+
+def _keyed(cols: dict[str, list]) -> dict[str, list]:
+    out = _keys(cols)
+    return {"line_id": out["line_id"], "origin": out["origin"], "template": out["template"]}
+
+
+def _covering(lines: DataFrame, share: float, least: int) -> DataFrame:
+    """(origin, template): templates that stand in documents enough of their origin."""
+    rows = lines.select("origin", "doc", "text").where("origin is not null and doc is not null")
     docs = rows.select("origin", "doc").distinct().groupBy("origin").agg(F.count("*").alias("_docs"))
-    text = rows.where("text is not null")
-    merged = arrow_map(text.select("origin", "doc", "text"), _trees, "origin string, template binary, doc string").distinct()
-    covering = merged.groupBy("origin", "template").agg(F.count("*").alias("_in")).join(docs, "origin")
-    covering = covering.where((F.col("_in") >= least) & (F.col("_in") >= F.lit(share) * F.col("_docs"))).select("origin", "template")
-    keyed = arrow_map(text.select("line_id", "origin", "text"), _keys, "line_id bigint, origin string, template binary")
-    return keyed.join(covering, ["origin", "template"], "left_semi").select("line_id").distinct()
+    merged = arrow_map(rows.where("text is not null"), _trees, "origin string, doc string, template binary").distinct()
+    counted = merged.groupBy("origin", "template").agg(F.count("*").alias("_in")).join(docs, "origin")
+    return counted.where((F.col("_in") >= least) & (F.col("_in") >= F.lit(share) * F.col("_docs"))).select("origin", "template")
 
 
 def without_repeated(lines: DataFrame, share: float = 0.2, least: int = 3) -> DataFrame:
     """(doc, text): every document without the repeated lines, its other lines in reading order, joined by line feeds.
 
     A line_id counts once; lines without text are left out; a document that has no
-    other lines keeps an empty text.
+    other lines keeps an empty text. The text of a line is shuffled once, to its
+    document.
     """
-    kept = once(lines.select("line_id", "doc", "page", "line_no", "text"), "line_id")
-    drop = repeated_lines(lines, share, least).withColumn("_drop", F.lit(True))
-    kept = kept.join(drop, "line_id", "left").where("doc is not null")
+    rows = lines.select("line_id", "origin", "doc", "page", "line_no", "text").where("doc is not null")
+    keyed = arrow_map(rows, _keys, "line_id bigint, origin string, doc string, page int, line_no int, text string, template binary")
+    drop = _covering(lines, share, least).withColumn("_drop", F.lit(True))
+    kept = keyed.join(drop, ["origin", "template"], "left")
     line = F.when(F.col("_drop").isNull() & F.col("text").isNotNull(), F.struct("page", "line_no", "line_id", "text"))
-    ordered = F.sort_array(F.collect_list(line))
-    return kept.groupBy("doc").agg(F.array_join(F.transform(ordered, lambda x: x["text"]), "\n").alias("text"))
+    ordered = F.sort_array(F.collect_set(line))
+    listed = kept.groupBy("doc").agg(ordered.alias("_lines"))
+    first = F.filter("_lines", lambda x, i: (i == 0) | ~x["line_id"].eqNullSafe(F.get("_lines", i - 1)["line_id"]))
+    return listed.select("doc", F.array_join(F.transform(first, lambda x: x["text"]), "\n").alias("text"))
 
 
 def found(lines: DataFrame) -> DataFrame:
