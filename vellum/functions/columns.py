@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 WS = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-NOT_WS = "[^" + WS[1:]
+#: The same characters, for functions that take a list of them.
+BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 DIGITS = r"\p{Nd}+"
 WORD = r"[\p{L}\p{Nl}\p{No}]+"
 
 
 def strip(c: Column) -> Column:
     """Without white space of any kind at both ends; trim() knows only U+0020."""
-    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
+    return F.btrim(c, F.lit(BLANKS))
 
 
 def squash(c: Column) -> Column:

@@ -7,9 +7,6 @@ aggregates of one document reuse that partitioning.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,42 +40,53 @@ def in_margin(top: Column, height: Column) -> Column:
 
 def is_signature(c: Column) -> Column:
     """A line of the signature stamp or a bare contact address."""
-    low = F.lower(strip(c))
-    starts = reduce(or_, [low.startswith(s) for s in rules.SIGNATURE_STARTS])
-    return starts | strip(c).rlike(rules.EMAIL_LINE) | strip(c).rlike(rules.EMAIL_CONTACT)
+    line = strip(c)
+    return F.lower(line).rlike(f"^(?:{'|'.join(rules.SIGNATURE_STARTS)})") | (line.contains("@") & line.rlike(f"{rules.EMAIL_LINE}|{rules.EMAIL_CONTACT}"))
 
 
 def is_cover(c: Column) -> Column:
     """A line that only the cover of the gazette prints."""
-    low = F.lower(strip(c))
-    return reduce(or_, [*(low.contains(s) for s in rules.COVER_PARTS), *(low.rlike(r) for r in rules.COVER_LINES)])
+    return F.lower(strip(c)).rlike("|".join([*rules.COVER_PARTS, *rules.COVER_LINES]))
 
 
 def with_heights(lines: DataFrame, pages: DataFrame) -> DataFrame:
-    """Lines with the height of their page and the place of their upper edge."""
-    heights = pages.groupBy("doc", "page").agg(F.max("height").alias("height"))
-    return lines.join(heights, ["doc", "page"], "left").withColumn("top", F.try_element_at("bbox", F.lit(2)))
+    """Lines with the height of their page and the place of their upper edge.
 
+    The heights of a document travel as one map, so that the join is on the document
+    alone and its partitioning serves everything after it.
+    """
+    heights = pages.where("page is not null and height is not null").groupBy("doc", "page").agg(F.max("height").alias("height"))
+    per_doc = heights.groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("page", "height"))).alias("_heights"))
+    rows = lines.join(per_doc, "doc", "left").withColumn("height", F.try_element_at("_heights", F.col("page")))
+    return rows.drop("_heights").withColumn("top", F.try_element_at("bbox", F.lit(2)))
 
-def running_lines(lines: DataFrame, pages: DataFrame) -> DataFrame:
-    """(doc, key, n_pages): keys of margin lines that stand on half of a document's pages, on two at least."""
-    placed = with_heights(lines, pages).where(in_margin(F.col("top"), F.col("height")) & ~is_structural(F.col("text")))
+
+def _running(placed: DataFrame, pages: DataFrame) -> DataFrame:
+    """(doc, key, n_pages) of lines with heights."""
+    margin = placed.where(in_margin(F.col("top"), F.col("height"))).where(~is_structural(F.col("text")))
     size = pages.groupBy("doc").agg(F.count_distinct("page").alias("pages"))
-    keys = placed.select("doc", "page", masked(F.col("text")).alias("key")).where("key <> ''")
+    keys = margin.select("doc", "page", masked(F.col("text")).alias("key")).where("key <> ''")
     often = keys.groupBy("doc", "key").agg(F.count_distinct("page").alias("n_pages")).join(size, "doc")
     return often.where(F.col("n_pages") >= F.greatest(F.lit(2), F.floor((F.col("pages") + 1) / 2))).select("doc", "key", "n_pages")
 
 
+def running_lines(lines: DataFrame, pages: DataFrame) -> DataFrame:
+    """(doc, key, n_pages): keys of margin lines that stand on half of a document's pages, on two at least."""
+    return _running(with_heights(lines, pages), pages)
+
+
 def kept_lines(lines: DataFrame, pages: DataFrame) -> DataFrame:
     """The lines that are content, in a cascade: structural lines stay, stamps go anywhere, cover lines only on page 1 before the first unit, running lines in margins."""
     order = Window.partitionBy("doc").orderBy("page", "block_no", "line_no", "line_id").rowsBetween(Window.unboundedPreceding, 0)
     text = F.col("text")
-    marked = with_heights(lines.where("text is not null"), pages).withColumn("structural", is_structural(text))
-    marked = marked.withColumn("seen", F.max("structural").over(order)).withColumn("key", masked(text))
-    running = running_lines(lines, pages).select("doc", "key", F.lit(True).alias("running"))
-    marked = marked.join(running, ["doc", "key"], "left")
-    drop = is_signature(text) | ((F.col("page") == 1) & ~F.col("seen") & is_cover(text)) | (in_margin(F.col("top"), F.col("height")) & F.coalesce("running", F.lit(False)))
-    return marked.where(F.col("structural") | ~drop).select(*lines.columns)
+    placed = with_heights(lines.where("text is not null"), pages)
+    keys = _running(placed, pages).groupBy("doc").agg(F.collect_set("key").alias("_running"))
+    marked = placed.join(keys, "doc", "left").withColumn("structural", is_structural(text)).withColumn("seen", F.max("structural").over(order))
+    margin = in_margin(F.col("top"), F.col("height"))
+    # only lines in margins are compared with the running ones
+    running = F.when(margin & F.col("_running").isNotNull(), F.array_contains("_running", masked(text))).otherwise(F.lit(False))
+    cover = F.when((F.col("page") == 1) & ~F.col("seen"), is_cover(text)).otherwise(F.lit(False))
+    return marked.where(F.col("structural") | ~(is_signature(text) | cover | running)).select(*lines.columns)
 
 
 def union_box(c: Column) -> list[Column]:

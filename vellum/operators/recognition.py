@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vellum.functions.columns import solid_length, strip, tokens
 from vellum.operators import rules
 from vellum.operators.lines import union_box
+from vellum.session import written
 
 
 def read_tsv(spark, path: str) -> DataFrame:
@@ -79,13 +80,13 @@ def page_verdicts(lines: DataFrame, words: DataFrame) -> DataFrame:
 
 def scan_units(lines: DataFrame, words: DataFrame, pages: DataFrame) -> DataFrame:
     """(doc, unit_no, page, text, ocr): text blocks of the pages that pass, a placeholder for each page that does not, in page order, text before placeholders."""
-    verdicts = page_verdicts(lines, words)
+    verdicts = written(page_verdicts(lines, words).select("doc", "page", "reason"))
     good = lines.join(verdicts.where("reason = ''").select("doc", "page"), ["doc", "page"], "left_semi").where(strip(F.coalesce("text", F.lit(""))) != "")
     first = F.min("line_no").alias("seq")
     text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "ocr_line_id", cleaned(F.col("text")).alias("text")))), lambda x: x["text"]), "\n").alias("text")
     blocks = good.groupBy("doc", "page", "block").agg(first, text).select("doc", "page", F.lit(0).alias("kind"), "seq", "text", F.lit(True).alias("ocr"))
     scans = pages.join(lines.select("doc").distinct(), "doc", "left_semi").select("doc", "page").distinct()
-    bare = scans.join(blocks.select("doc", "page"), ["doc", "page"], "left_anti")
+    bare = scans.join(verdicts.where("reason = ''"), ["doc", "page"], "left_anti")
     marker = F.concat(F.lit(rules.MARKER + " (trang "), F.col("page").cast("string"), F.lit(")"))
     units = blocks.unionByName(bare.select("doc", "page", F.lit(1).alias("kind"), F.lit(0).alias("seq"), marker.alias("text"), F.lit(None).cast("boolean").alias("ocr")))
     number = F.row_number().over(Window.partitionBy("doc").orderBy("page", "kind", "seq"))

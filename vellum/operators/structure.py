@@ -7,36 +7,32 @@ from pyspark.sql import functions as F
 
 from vellum.functions.columns import squash, strip
 from vellum.operators import rules
-from vellum.operators.lines import article, block_paragraphs, chapter, clause, kept_lines
+from vellum.operators.lines import article, chapter, clause, kept_lines
 
 ORDER = ("page", "block_no", "line_no", "line_id")
 
 
-def legal_units(lines: DataFrame, order: tuple[str, ...] = ORDER) -> DataFrame:
-    """(doc, unit_no, type, label, path, text, page, bbox): chapters, articles and clauses of each document.
-
-    The reading state is carried by windows over the lines in order: the open article is
-    the last one since the last chapter, a clause counts only while an article is open,
-    a heading's path is the chapter before it, and any other line goes on with the open
-    unit or stands as a paragraph. A unit keeps the page and the box of its first line.
-    One shuffle by document serves all windows and the grouping.
-    """
+def _read(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """Lines with the reading state: what they begin, and the chapter and article that are open."""
     by = Window.partitionBy("doc").orderBy(*order)
     so_far, before = by.rowsBetween(Window.unboundedPreceding, 0), by.rowsBetween(Window.unboundedPreceding, -1)
-    line = strip(F.col("text"))
-    rows = lines.withColumn("_text", line).where("_text <> ''")
     rows = rows.withColumn("_ch", squash(chapter(F.col("_text"))))
     rows = rows.withColumn("_d", F.when(F.col("_ch").isNull(), article(F.col("_text")))).withColumn("_k", F.when(F.col("_ch").isNull() & F.col("_d").isNull(), clause(F.col("_text"))))
     rows = rows.withColumn("_part", F.count("_ch").over(so_far)).withColumn("_chapter", F.last("_ch", True).over(so_far)).withColumn("_earlier", F.last("_ch", True).over(before))
-    within = Window.partitionBy("doc", "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_article", F.last("_d", True).over(within))
+    # the open article is the last one since the last chapter: the newest of both, told apart by a tag
+    mark = F.when(F.col("_ch").isNotNull(), F.struct(F.lit(None).cast("string").alias("n"))).when(F.col("_d").isNotNull(), F.struct(F.col("_d").alias("n")))
+    rows = rows.withColumn("_article", F.last(mark, True).over(so_far)["n"])
     kind = (
         F.when(F.col("_ch").isNotNull(), "heading")
         .when(F.col("_d").isNotNull(), "dieu")
         .when(F.col("_k").isNotNull() & F.col("_article").isNotNull(), "khoan")
         .when(F.col("_article").isNull(), "paragraph")
     )
-    rows = rows.withColumn("_kind", kind).withColumn("unit_no", F.count("_kind").over(so_far))
+    return rows.withColumn("_kind", kind).withColumn("unit_no", F.count("_kind").over(so_far))
+
+
+def _units(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """Units out of numbered lines: type, label, path, page and box from the first line, text from all."""
     label = F.when(F.col("_kind") == "heading", F.col("_ch")).when(F.col("_kind") == "dieu", F.concat(F.lit("Điều "), "_d")).when(F.col("_kind") == "khoan", F.concat(F.lit("Khoản "), "_k")).otherwise("")
     path = F.array_compact(
         F.when(F.col("_kind") == "heading", F.array("_earlier"))
@@ -50,6 +46,19 @@ def legal_units(lines: DataFrame, order: tuple[str, ...] = ORDER) -> DataFrame:
     return units.select("doc", "unit_no", "first.type", "first.label", "first.path", "text", "first.page", "first.bbox")
 
 
+def legal_units(lines: DataFrame, order: tuple[str, ...] = ORDER) -> DataFrame:
+    """(doc, unit_no, type, label, path, text, page, bbox): chapters, articles and clauses of each document.
+
+    The reading state is carried by windows over the lines in order: the open article is
+    the last one since the last chapter, a clause counts only while an article is open,
+    a heading's path is the chapter before it, and any other line goes on with the open
+    unit or stands as a paragraph. A unit keeps the page and the box of its first line.
+    One shuffle by document serves all windows and the grouping.
+    """
+    rows = lines.withColumn("_text", strip(F.col("text"))).where("_text <> ''")
+    return _units(_read(rows, order), order)
+
+
 def document_kinds(lines: DataFrame) -> DataFrame:
     """(doc, kind): legal if any line begins an article, else prose."""
     legal = F.max(article(strip(F.col("text"))).isNotNull())
@@ -70,15 +79,20 @@ def text_units(lines: DataFrame) -> DataFrame:
 
 
 def document_units(lines: DataFrame, pages: DataFrame) -> DataFrame:
-    """(doc, unit_no, type, label, path, text, page): boilerplate dropped, then legal structure, or a paragraph per block where there is none."""
-    kept = kept_lines(lines, pages)
-    kinds = document_kinds(kept)
-    legal = legal_units(kept.join(kinds.where("kind = 'legal'"), "doc", "left_semi")).drop("bbox")
-    blocks = block_paragraphs(kept.join(kinds.where("kind = 'prose'"), "doc", "left_semi"))
-    number = F.row_number().over(Window.partitionBy("doc").orderBy("page", "block_no"))
-    prose = blocks.select("doc", number.cast("bigint").alias("unit_no"), F.lit("paragraph").alias("type"), F.lit("").alias("label"), F.lit(None).cast("array<string>").alias("path"), "text", "page")
-    prose = prose.withColumn("path", F.array().cast("array<string>"))
-    return legal.unionByName(prose)
+    """(doc, unit_no, type, label, path, text, page): boilerplate dropped, then legal structure, or a paragraph per block where there is none.
+
+    Both kinds go through the same windows: a document without an article numbers its
+    units by blocks and keeps its lines as they are.
+    """
+    doc = Window.partitionBy("doc")
+    stripped = strip(F.col("text"))
+    rows = kept_lines(lines, pages).withColumn("_text", stripped)
+    rows = rows.withColumn("_legal", F.max(article(F.col("_text")).isNotNull()).over(doc)).where("not _legal or _text <> ''")
+    block = F.dense_rank().over(doc.orderBy("page", "block_no")).cast("bigint")
+    rows = _read(rows, ORDER)
+    for name, other in (("unit_no", block), ("_kind", F.lit("paragraph")), ("_text", F.col("text")), ("_chapter", F.lit(None).cast("string"))):
+        rows = rows.withColumn(name, F.when(F.col("_legal"), F.col(name)).otherwise(other))
+    return _units(rows, ORDER).drop("bbox")
 
 
 def marker_units(pages: DataFrame, lines: DataFrame) -> DataFrame:
