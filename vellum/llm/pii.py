@@ -58,6 +58,8 @@ SURNAMES = frozenset(
     "thạch khiếu mạc kiều la lương lưu mã ninh nông ông tăng thái thân tiêu tôn triệu từ văn viên vương đoàn đàm đồng giang khổng khương kim".split()
 )
 TITLES = frozenset("ông bà anh chị cô chú bác em mr mr. mrs mrs. ms ms. miss dr dr. m. m mme mlle maître witness sư chứng judge professor".split())
+#: Titles of two words: the second with the first.
+PAIRED = {"sư": "luật", "chứng": "làm"}
 STREET_WORDS = frozenset("đường phố ngõ ngách hẻm thôn phường quận huyện xã tỉnh tp. tp trấn vực ấp xóm tuyến đảo sông cầu chợ".split())
 GROUP_WORDS = frozenset("công ty cổ phần tnhh tòa án vụ tập đoàn ngân hàng doanh nghiệp trường viện see v. company court bank society société cour tribunal".split())
 WAYS = frozenset(_WAY.lower().split("|"))
@@ -95,10 +97,11 @@ def _features(text: str, start: int, end: int, label: str) -> list[str]:
         parts = _PART.findall(span)
         low = [p.lower() for p in parts]
         f += [f"n={len(parts)}", f"family={low[0] in SURNAMES}", f"initial={sum(p.endswith('.') for p in parts)}", f"lastinitial={parts[-1].endswith('.')}"]
-        f += [f"title={b1 in TITLES}", f"street={b1 in STREET_WORDS or b2 in STREET_WORDS and b1 == '.'}", f"group={b1 in GROUP_WORDS or b2 in GROUP_WORDS}"]
+        title = b1 in TITLES and (b1 not in PAIRED or b2 == PAIRED[b1])
+        f += [f"title={title}", f"street={b1 in STREET_WORDS or b2 in STREET_WORDS and b1 == '.'}", f"group={b1 in GROUP_WORDS or b2 in GROUP_WORDS}"]
         f += [f"way={low[-1] in WAYS}", f"waybefore={len(before) > 1 and b1 == ',' and b2 in WAYS}", f"number={b1.isdigit()}", f"starts={low[0] in TITLES or low[0] in GROUP_WORDS}"]
         run = len(re.match(rf"(?:[ ]{_NAME})*", text[end : end + 60]).group()) + len(re.search(rf"(?:{_NAME}[ ])*$", text[max(0, start - 60) : start]).group())
-        f += [f"upper={span.isupper()}", f"upper={span.isupper()}_run={min(3, run // 8)}_title={b1 in TITLES}", f"upper={span.isupper()}_run={min(3, run // 8)}_family={low[0] in SURNAMES}", f"more={bool(re.match(rf'[ ]{_NAME}', text[end : end + 30]))}", f"left={bool(re.search(rf'{_NAME}[ ]$', text[max(0, start - 30) : start]))}"]
+        f += [f"upper={span.isupper()}", f"upper={span.isupper()}_run={min(3, run // 8)}_title={title}", f"upper={span.isupper()}_run={min(3, run // 8)}_family={low[0] in SURNAMES}", f"more={bool(re.match(rf'[ ]{_NAME}', text[end : end + 30]))}", f"left={bool(re.search(rf'{_NAME}[ ]$', text[max(0, start - 30) : start]))}"]
         f += [f"family={low[0] in SURNAMES}_n={len(parts)}", f"latin={all(c.isascii() for c in span)}"]
     elif label in ("phone", "id_number"):
         digits = re.sub(r"\D", "", span)
@@ -206,7 +209,7 @@ The bank of {l1} Lane is long (see {l1} v. {l2}).|Kho hàng số {n} đường {
 
 #: Sentences without any name, which in capitals look like runs of names.
 _PLAIN = """Từ đó có thể thấy quyền và nghĩa vụ của các bên đã được lập thành văn bản.|Tòa án thụ lý đơn khởi kiện và thông báo cho đương sự.|Văn bản này có hiệu lực kể từ ngày ký.
-Mã số thuế và hồ sơ không liên quan.|Đoàn kiểm tra lập biên bản.|Lý do từ chối phải nêu rõ.|Hồ sơ được lưu trữ tại kho.|Kiều bào được quyền góp vốn.|Thái độ hợp tác là cần thiết.
+Mã số thuế và hồ sơ không liên quan.|Đoàn kiểm tra lập biên bản.|Lý do từ chối phải nêu rõ.|Hồ sơ được lưu trữ tại kho.|Bên mua niêm phong chứng cứ bản gốc, việc chứng minh nội dung chưa xong.|Trong lúc người làm chứng từ chối giấy ủy quyền thì hai bên chờ.|Kiều bào được quyền góp vốn.|Thái độ hợp tác là cần thiết.
 The lost receipt of uncertain date shall be returned to the bank.|Le tribunal rendra sa décision dans le délai convenu.|Trương mục tạm giữ không sinh lãi.|Phân tích hợp đồng mẫu là bước đầu tiên.""".replace("\n", "|").split("|")
 
 
