@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from vellum.functions import columns as C
 from vellum.functions.text import TCVN3, decode_vni, is_syllable, strip_accents
 from vellum.operators import anchor, health, lines, ranking, raster, recognition, repair, sidecar, slides, structure
-from vellum.sources import discovery, names, office
+from vellum.sources import cache, discovery, names, office
 
 LINE = "line_id long, doc string, origin string, page int, block_no int, line_no int, text string, bbox array<double>"
 
@@ -352,3 +352,47 @@ def test_empty_tables(spark):
     ls = spark.createDataFrame([], LINE)
     ps = spark.createDataFrame([], "doc string, page int, width double, height double")
     assert structure.document_units(ls, ps).count() == 0 and lines.running_lines(ls, ps).count() == 0 and structure.marker_units(ps, ls).count() == 0
+
+
+def test_page_cache(spark, tmp_path):
+    head = {"v": 1, "engine": "e"}
+    data = [("a", 0, json.dumps(head)), ("a", 1, '{"page": 1, "dpi": 200, "lines": ["x"]}'), ("a", 2, '{"page": 1, "dpi": 300, "lines": ["y"]}'), ("a", 3, '{"page": 2, "err'), ("b", 0, '{"v": 2}'), ("b", 1, '{"page": 1}')]
+    got = rows(cache.cached_pages(spark.createDataFrame(data, "doc string, seq int, value string"), F.lit(json.dumps(head))), "doc", "page", "dpi")
+    assert got == [("a", 1, 300)]
+    engine = cache.Engine("reader", "5", "vie", 200)
+    results = spark.createDataFrame([("a", 1), ("b", 1)], "doc string, page int")
+    cache.append_pages(results, str(tmp_path / "c"), engine, F.concat(F.lit("s-"), "doc"))
+    now = spark.createDataFrame([("a", "s-a"), ("b", "changed")], "doc string, signature string")
+    table = spark.read.parquet(str(tmp_path / "c"))
+    assert rows(cache.usable(table, engine, now), "doc") == [("a",)]
+    assert cache.usable(table, cache.Engine("reader", "5", "vie", 300), now).count() == 0
+
+
+def test_settings_and_archive(tmp_path):
+    assert cache.settings('{"enabled": true, "workers": 4}') == (True, 4) and cache.settings('{"enabled": 1, "workers": true}') == (False, 2)
+    assert cache.settings(None) == (False, 2) and cache.settings("[]") == (False, 2) and cache.settings('{"enabled": true, "workers": 9}') == (True, 2)
+    (tmp_path / "a.pdf").write_text("1")
+    (tmp_path / "old").mkdir()
+    (tmp_path / "old/a.pdf").write_text("0")
+    assert cache.archive(tmp_path / "a.pdf", tmp_path / "old", set()).name == "a (1).pdf"
+    assert cache.file_hash(tmp_path / "old/a.pdf").startswith("5feceb66") and cache.label(tmp_path / "kho") == tmp_path.name
+
+
+def test_stable_files(spark, tmp_path):
+    from vellum.streaming.inbox import stable_files
+
+    schema = "path string, size long, seen long"
+    q = None
+    for n, listing in enumerate([[("a", 1), ("b", 5)], [("a", 1), ("b", 6)], [("a", 1), ("b", 6)]]):
+        spark.createDataFrame([(p, s, n) for p, s in listing], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        stream = stable_files(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))
+        q = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        q.awaitTermination(120)
+    assert sorted(rows(spark.read.parquet(str(tmp_path / "out")))) == [("a", 1), ("b", 6)]
+
+
+def test_repairs_do_not_depend_on_partitioning(spark):
+    lines_in = legal(spark, ["Chương I. A", "Điều 1. B", "1. c", "d", "Điều 2. E"] * 5)
+    want = sorted(map(str, rows(structure.legal_units(lines_in))))
+    assert sorted(map(str, rows(structure.legal_units(lines_in.repartition(11))))) == want

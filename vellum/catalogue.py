@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions import columns as C
 from vellum.operators import anchor, health, lines, ranking, raster, recognition, repair, rules, sidecar, slides, structure
-from vellum.sources import discovery, names
+from vellum.sources import cache, discovery, names
 
 FLAGSHIP = "q_document_units"
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -496,3 +496,50 @@ def q_admitted(spark, d):
 def q_heavy_scans(spark, d):
     images = _pages(spark, d).select("doc", "page", (F.col("page") * 400).alias("px_w"), F.col("width").alias("page_w"), F.lit("DCT").alias("filter"))
     return raster.heavy_documents(images).join(raster.render_dpi(images).groupBy("doc").agg(F.min("dpi").alias("dpi")), "doc")
+
+
+@query(f"""WITH {SIDECARS} SELECT doc, sha256(rel_path || coalesce(title, '')) AS digest FROM s""")
+def q_content_hashes(spark, d):
+    rows = _sidecars(spark, d)
+    return rows.select("doc", F.sha2(F.concat("rel_path", F.coalesce("title", F.lit(""))).cast("binary"), 256).alias("digest"))
+
+
+@query(f"""WITH {_RUNS}, x AS (SELECT *, coalesce(count(*) FILTER (ok) OVER (PARTITION BY task ORDER BY ts, run_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS streak FROM ru),
+y AS (SELECT task, min(ts) FILTER (NOT ok) AS a, max(ts) FILTER (ok) AS b FROM x GROUP BY task, streak HAVING count(*) FILTER (NOT ok) > 0)
+SELECT task, strftime(a, '%d/%m/%Y %H:%M') || ' - ' || strftime(b, '%d/%m/%Y %H:%M') || ': task ' || task || ' is well again' AS message FROM y WHERE b IS NOT NULL""")
+def q_messages(spark, d):
+    done = health.streaks(_runs(spark, d)).where("recovered is not null")
+    when = lambda c: F.date_format(c, "dd/MM/yyyy HH:mm")
+    return done.select("task", C.template("{from} - {to}: task {task} is well again", **{"from": when("first_fail"), "to": when("recovered"), "task": F.col("task")}).alias("message"))
+
+
+@query("""WITH a AS (SELECT c_nationkey AS n, c_custkey AS ord, c_mktsegment AS digest FROM customer) SELECT arg_min(digest, ord) AS digest FROM a WHERE digest IN (SELECT c_mktsegment FROM customer WHERE c_nationkey = 3) AND n = 7""")
+def q_merge_base(spark, d):
+    c = _t(spark, d, "customer")
+    ours = c.where("c_nationkey = 7").select(F.col("c_custkey").alias("ord"), F.col("c_mktsegment").alias("digest"))
+    return cache.newest_common(ours, c.where("c_nationkey = 3").select(F.col("c_mktsegment").alias("digest")).distinct())
+
+
+@query()
+def q_alert_stream(spark, d):
+    """The alerts of q_health_alerts out of the stateful stream, read to its end."""
+    import uuid
+    from pathlib import Path
+
+    from vellum.session import shared_folder
+    from vellum.streaming.health import alert_stream
+
+    path = Path(f"{d}/events.parquet")
+    source = spark.readStream.schema(spark.read.parquet(str(path)).schema).option("maxFilesPerTrigger", 1000)
+    events = source.parquet(str(path)) if path.is_dir() else source.option("pathGlobFilter", path.name).parquet(str(path.parent))
+    runs = events.select(F.col("user_id").alias("task"), F.col("ts").cast("timestamp").alias("ts"), (F.col("event_type") != "error").alias("ok"))
+    out = f"{shared_folder(spark)}/vellum/{uuid.uuid4().hex}"
+    kept = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        stream = alert_stream(runs.withColumn("task", F.col("task").cast("string")))
+        stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        if kept:
+            spark.conf.set("spark.sql.streaming.stateStore.providerClass", kept)
+    return spark.read.schema("task string, ts timestamp, kind string").parquet(out).select("task", F.col("ts").cast("timestamp_ntz").alias("ts"), "kind")
