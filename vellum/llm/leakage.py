@@ -16,7 +16,9 @@ shuffled and only pairs that hold a passage leave a task.
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 from math import ceil
 
 import numpy as np
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.functions.shapes import latin_shape
+from vellum.functions.shapes import IGNORABLE, latin_shape
 from vellum.functions.text import strip_accents
 
 Q = 16
@@ -34,6 +36,8 @@ BAND = 64
 BLOCK_CHARS = 4_000_000
 _WORD = re.compile(r"[a-z0-9]+")
 _FILTER_BITS = 22
+#: Pairs of texts and items that are counted in one array.
+PAIRS = 4_000_000
 
 
 def words_of(text: str) -> list[str]:
@@ -41,6 +45,39 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(strip_accents(latin_shape(text)).lower())
 
 
+_SPACE, _END, _DROP = 0, 1, 255
+
+
+@lru_cache(maxsize=1)
+def _fold_table() -> np.ndarray:
+    """For every character of the basic plane the base letter or digit it is compared as, a separator, or nothing."""
+    table = np.zeros(1 << 16, np.uint8)
+    for code in range(1 << 16):
+        c = chr(code)
+        if c in IGNORABLE or unicodedata.combining(c):
+            table[code] = _DROP
+        elif not 0xD800 <= code < 0xE000 and len(base := strip_accents(latin_shape(c)).lower()) == 1 and base.isascii() and base.isalnum():
+            table[code] = ord(base)
+    table[0xFFFF] = _END
+    return table
+
+
+def folded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, begins): the words of all texts as words_of() gives them, with one space between words and a line feed after each text."""
+    codes = np.frombuffer("".join(t + "\uffff" for t in (x.replace("\uffff", " ") for x in texts)).encode("utf-32-le", "surrogatepass"), np.uint32)
+    b = _fold_table()[np.where(codes < 1 << 16, codes, 0x20)]
+    b = b[b != _DROP]
+    letter = b > _END
+    keep = b != _SPACE
+    keep[1:] |= letter[:-1]
+    b = b[keep]
+    space = b == _SPACE
+    space[:-1] &= b[1:] == _END
+    b = b[~space]
+    out = np.where(b == _SPACE, 32, np.where(b == _END, 10, b)).astype(np.uint8)
+    return out, np.concatenate([[0], np.flatnonzero(b == _END) + 1])
+
+
 def _grams(data: np.ndarray) -> np.ndarray:
     """A 64-bit hash of every q-gram of a byte array."""
     n = len(data) - Q + 1
@@ -99,35 +136,54 @@ class Index:
         where = np.repeat(self.first[k] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(k) else np.zeros(0, np.int64)
         return np.repeat(at, n), self.owner[where], self.place[where]
 
-    def passages(self, text: str) -> list[int]:
-        """Keys of the items of which the text holds a passage."""
-        words = words_of(text)
-        if len(words) < self.least - 2 or not self.items:
+    def passages(self, texts: list[str]) -> list[tuple[int, int]]:
+        """(place in the list, key of an item) of every text that holds a passage of an item.
+
+        All texts are one array, so that grams and bands are counted at once; grams
+        that reach over the end of a text are no hits.
+        """
+        if not self.items:
             return []
-        data = np.frombuffer(" ".join(words).encode(), np.uint8)
+        data, begins = folded(texts)
         at, item, place = self.hits(data)
+        doc = np.searchsorted(begins, at, "right") - 1
+        inside = at + Q < begins[doc + 1]
+        at, item, place, doc = at[inside], item[inside], place[inside], doc[inside]
+        # what all diagonals of a text and an item together cannot reach, a band of them cannot
+        pair = doc * len(self.items) + item
+        if len(texts) * len(self.items) <= PAIRS:
+            inside = (np.bincount(pair, minlength=len(texts) * len(self.items)) >= np.tile(self.bounds, len(texts)))[pair]
+            at, item, place, doc, pair = at[inside], item[inside], place[inside], doc[inside], pair[inside]
         if not len(at):
             return []
         half = BAND // 2
-        band = (at - place) // half
-        found: dict[int, None] = {}
+        longest = max(int(starts[-1]) + len(words[-1]) for _, words, starts in self.items)
+        band = (at - begins[doc] - place + longest) // half
+        wide = int(band.max()) + 2
+        group = pair * wide + band
         # each hit lies in the band that begins at its half and in the one before
-        keys = np.concatenate([item * (1 << 40) + band + (1 << 38), item * (1 << 40) + band - 1 + (1 << 38)])
+        keys = np.concatenate([group + 1, group])
         distinct, inverse, count = np.unique(keys, return_inverse=True, return_counts=True)
-        starts = np.cumsum([0] + [len(w) + 1 for w in words[:-1]])
+        owner = distinct // wide
+        enough = np.flatnonzero(count >= self.bounds[owner % len(self.items)])
+        if not len(enough):
+            return []
         order = np.argsort(inverse, kind="stable")
         ends = np.cumsum(count)
-        for c in np.flatnonzero(count >= self.bounds[distinct >> 40]):
-            who = int(distinct[c] >> 40)
-            if who in found:
+        found: dict[tuple[int, int], None] = {}
+        for c in enough:
+            d, who = divmod(int(owner[c]), len(self.items))
+            if (d, who) in found:
                 continue
             mine = order[ends[c] - count[c] : ends[c]] % len(at)
-            key, own, own_starts = self.items[who]
+            _, own, own_starts = self.items[who]
+            words = data[begins[d] : begins[d + 1] - 1].tobytes().decode().split(" ")
+            starts = np.cumsum([0] + [len(w) + 1 for w in words[:-1]])
             a = np.searchsorted(own_starts, place[mine], "right") - 1
-            b = np.searchsorted(starts, at[mine], "right") - 1
+            b = np.searchsorted(starts, at[mine] - begins[d], "right") - 1
             if aligned(own, words, int(np.median(b - a)), self.least):
-                found[who] = None
-        return [self.items[i][0] for i in found]
+                found[d, who] = None
+        return [(d, self.items[i][0]) for d, i in found]
 
 
 def aligned(item: list[str], text: list[str], shift: int, least: int, width: int = 12, tolerance: float = 0.125) -> bool:
@@ -176,6 +232,18 @@ def _stretch(path: tuple | None, tolerance: float) -> int:
     return longest
 
 
+def pieces(texts: list[str], chars: int = 2_000_000) -> Iterator[tuple[int, int]]:
+    """Stretches of a list of at most so many characters, or of one text."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        if size and size + len(t) > chars:
+            yield start, i
+            start, size = i, 0
+        size += len(t)
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def leaked_passages(documents: DataFrame, items: DataFrame, least: int = 30, exchanged: float = 0.1) -> DataFrame:
     """(doc_id, item_id): each document that holds `least` words in a row of an item, up to about `exchanged` of them replaced.
 
@@ -196,10 +264,11 @@ def leaked_passages(documents: DataFrame, items: DataFrame, least: int = 30, exc
         def search(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 docs, found = [], []
-                for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                    hit = index.passages(text)
-                    docs += [key] * len(hit)
-                    found += hit
+                keys, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+                for a, b in pieces(texts):
+                    hits = index.passages(texts[a:b])
+                    docs += [keys[a + i] for i, _ in hits]
+                    found += [item for _, item in hits]
                 if docs:
                     yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(found, pa.int64())], names=["doc_id", "item_id"])
 
