@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vellum.session import written
+
 BUCKETS = 512
 
 
@@ -78,7 +80,7 @@ def mix(documents: DataFrame, targets: DataFrame, vocabulary: str | None = None,
     not in it. Rows of one doc_id are documents of their own. The same seed gives the
     same mix whatever the partitioning; ties of ids go by size.
     """
-    sizes = sized(documents, vocabulary)
+    sizes = written(sized(documents, vocabulary))
     rates = plan(sizes, targets).select("source", F.col("copies").alias("rate"))
     return _drawn(sizes, rates, seed)
 
@@ -102,7 +104,7 @@ def report(documents: DataFrame, targets: DataFrame, vocabulary: str | None = No
     used is the number of documents given out, actual their share of the mix in tokens
     (null for an empty mix), short as of plan().
     """
-    sizes = sized(documents, vocabulary)
+    sizes = written(sized(documents, vocabulary))
     planned = plan(sizes, targets)
     drawn = _drawn(sizes, planned.select("source", F.col("copies").alias("rate")), seed)
     got = drawn.groupBy("source").agg(F.sum("copies").alias("used"), F.sum(F.col("tokens") * F.col("copies")).alias("mixed"))
