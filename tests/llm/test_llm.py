@@ -335,6 +335,15 @@ def test_leaks(spark):
     assert sorted(got) == sorted(want)
 
 
+def test_folded_as_words():
+    r = random.Random(8)
+    pool = ["Điều 5.", unicodedata.normalize("NFD", "nghĩa"), "ｗｉｄｅ", "сủа", " ", "\n", "—", "\U0001f600", "решение", "", "a​b", "x\uffffy", "!", "É", "²"]
+    texts = [r.choice(["", " "]).join(r.choice(pool) for _ in range(r.randrange(9))) for _ in range(300)]
+    data, begins = leakage.folded(texts)
+    got = [data[a : b - 1].tobytes().decode() for a, b in zip(begins, begins[1:], strict=False)]
+    assert got == [" ".join(leakage.words_of(t)) for t in texts]
+
+
 def test_leaks_in_blocks_and_empty(spark, monkeypatch):
     items = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(40))) for i in range(8)], "item_id long, text string")
     docs = items.select((F.col("item_id") + 100).alias("doc_id"), "text")
