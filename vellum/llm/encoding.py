@@ -157,7 +157,7 @@ def restore_encoding(df: DataFrame, key: str = "unit_id", text: str = "text", sc
     """
     scan = F.coalesce(F.col(scanned), F.lit(False)) if scanned else F.lit(False)
     rows = df.select(F.col(key).cast("bigint").alias("_key"), F.col(text).alias("_text"), scan.alias("_scan"))
-    rows = rows.where(F.col("_key").isNotNull() & F.col("_text").rlike(r"[^\x00-\x7f\x{c0}-\x{1ef9}]|[\x{c4}-\x{1ef9}]|\?"))
+    rows = rows.where(F.col("_key").isNotNull() & F.col("_text").rlike(r"[^\x00-\x7f]|\?"))
 
     def found(cols: dict[str, list]) -> dict[str, list]:
         hits = [(k, kinds, new) for k, t, s in zip(cols["_key"], cols["_text"], cols["_scan"], strict=True) for new, kinds in (repair(t, s),) if kinds]
