@@ -27,10 +27,16 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share, named in spark.checkpoint.dir; one of our own only where that is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir, else the checkpoint folder that the context was given.
+
+    A folder of our own is made only in a local session that names none (tests); a
+    cluster without a shared folder is an error, never a machine's own folder.
+    """
     global _own
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         _own = _own or tempfile.mkdtemp(prefix="vellum-")
         folder = _own
     return folder.rstrip("/")
