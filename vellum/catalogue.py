@@ -542,4 +542,6 @@ def q_alert_stream(spark, d):
     finally:
         if kept:
             spark.conf.set("spark.sql.streaming.stateStore.providerClass", kept)
+        else:
+            spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     return spark.read.schema("task string, ts timestamp, kind string").parquet(out).select("task", F.col("ts").cast("timestamp_ntz").alias("ts"), "kind")
