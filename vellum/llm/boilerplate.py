@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions.shapes import latin_shape
 from vellum.llm.common import arrow_map
+from vellum.session import written
 
 DEPTH = 3
 #: What stands for a number.
@@ -96,12 +97,16 @@ def _keyed(cols: dict[str, list]) -> dict[str, list]:
 
 
 def _covering(lines: DataFrame, share: float, least: int) -> DataFrame:
-    """(origin, template): templates that stand in documents enough of their origin."""
+    """(origin, template): templates that stand in documents enough of their origin.
+
+    Written as a table: the engine then knows its size before it plans the join with
+    the lines, and moves the lines only if it is large.
+    """
     rows = lines.select("origin", "doc", "text").where("origin is not null and doc is not null")
     docs = rows.select("origin", "doc").distinct().groupBy("origin").agg(F.count("*").alias("_docs"))
     merged = arrow_map(rows.where("text is not null"), _trees, "origin string, doc string, template binary").distinct()
     counted = merged.groupBy("origin", "template").agg(F.count("*").alias("_in")).join(docs, "origin")
-    return counted.where((F.col("_in") >= least) & (F.col("_in") >= F.lit(share) * F.col("_docs"))).select("origin", "template")
+    return written(counted.where((F.col("_in") >= least) & (F.col("_in") >= F.lit(share) * F.col("_docs"))).select("origin", "template"))
 
 
 def without_repeated(lines: DataFrame, share: float = 0.2, least: int = 3) -> DataFrame:
