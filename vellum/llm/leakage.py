@@ -33,7 +33,7 @@ Q = 16
 #: Diagonals of a band in characters; bands begin every half of that.
 BAND = 64
 #: Characters of items in one block.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_000_000
 _WORD = re.compile(r"[a-z0-9]+")
 _FILTER_BITS = 22
 #: Pairs of texts and items that are counted in one array.
