@@ -251,6 +251,18 @@ def test_look_alikes(spark):
     assert texts["units", 7] == cases[7][0] and texts["units", 9] == cases[9][0] and texts["units", 11].startswith("một phần") and texts["units", 14] == "định giá"
 
 
+def test_capital_look_alikes(spark):
+    cases = {
+        1: ("Bên В", "Bên B"), 2: ("ТНЕ", "THE"), 3: ("КНО МАХ", "KHO MAX"), 4: ("ΝΟ", "NO"), 5: ("Υ", "Y"), 6: ("Веn", "Ben"),
+        7: ("НЕТ", "НЕТ"), 8: ("решение КНО", "решение КНО"), 9: ("νο", "vo"),
+    }
+    data = [(k, t, None) for k, (t, _) in cases.items()] + [(50, "the kho max, bên b, no y: vo ben", None)]
+    texts = lookalike.texts(spark.createDataFrame(data, "unit_id long, text string, ocr boolean"))
+    assert {k for _, k in rows(lookalike.look_alikes(texts))} == {k for k, (t, x) in cases.items() if t != x}
+    got = {k: x for _, k, x in rows(lookalike.consistent(texts))}
+    assert {k: got[k] for k in cases} == {k: x for k, (_, x) in cases.items()}
+
+
 def test_trie_automaton():
     trie = lookalike.Trie()
     for w, n in (("của", 5), ("cua", 9), ("cấp", 1)):

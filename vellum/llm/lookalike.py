@@ -50,11 +50,13 @@ class Trie:
 
         States are (node, cost); a letter moves along its own edge or that of the Latin
         letter it looks like at no cost, an ignorable stays at no cost, any other edit
-        costs one.
+        costs one. Edges are small letters; a capital is mapped before its case goes,
+        for it may look like another letter than its small form, or like one alone.
         """
         states = {(id(self.root), ""): (self.root, 0)}
         for c in word:
             following: dict = {}
+            free = (c.lower(), LOOKALIKE.get(c, c).lower())
 
             def go(node: dict, path: str, cost: int, following: dict = following) -> None:
                 if cost <= budget and following.get((id(node), path), (None, budget + 1))[1] > cost:
@@ -66,7 +68,7 @@ class Trie:
                     continue
                 for edge, child in node.items():
                     if edge:
-                        go(child, path + edge, cost + (edge != c and edge != LOOKALIKE.get(c)))
+                        go(child, path + edge, cost + (edge not in free))
                 go(node, path, cost + 1)
             states = following
         ends = [(cost, -node[""], path) for (_, path), (node, cost) in states.items() if "" in node]
@@ -123,15 +125,19 @@ def _vocabulary(cols: dict[str, list]) -> dict[str, list]:
     return {"word": list(plain), "n": list(plain.values())}
 
 
+def _cased(plain: str, word: str) -> str:
+    """A spelling reached at no cost, letter by letter in the case of the word."""
+    return "".join(c if p == c.lower() else p.upper() if c.isupper() else p for p, c in zip(plain, word, strict=True))
+
+
 def _decide(words: pd.DataFrame, vocabulary: pd.DataFrame) -> pd.DataFrame:
     trie = Trie()
     for word, n in zip(vocabulary["word"], vocabulary["n"], strict=True):
         trie.add(word, int(n))
     form = []
     for w in words["word"]:
-        plain = trie.walk(w.lower())
-        table = latin_shape(w)
-        form.append(table if plain is not None or _mixed(w) else w)
+        plain = trie.walk(w)
+        form.append(_cased(plain, w) if plain is not None else latin_shape(w) if _mixed(w) else w)
     return pd.DataFrame({"word": pd.Series(list(words["word"]), dtype=object), "form": pd.Series(form, dtype=object)})
 
 
