@@ -178,6 +178,14 @@ def test_paragraphs(spark):
     assert got[0] == (1, "Bên bảo lãnh cần đình chỉ phụ lục không đồng tạm thời còn thiếu chữ ký do người thừa kế thực hiện.") and len(got) == 4
 
 
+def test_repaired_units(spark):
+    lines, units = scan(spark)
+    top = [(60 + p, "t", p, "paragraph", "", [], "Quy định chung về đặt cọc\nphụ lục kh0ng đồng", p, None, True) for p in (1, 2)]
+    got = sorted(rows(scanfix.repaired_units(lines, units.select(*spark.createDataFrame(top, UNITS).columns).unionByName(spark.createDataFrame(top, UNITS)))))
+    assert got == [("units", 50, "Bên bảo lãnh cần đình chỉ phụ lục"), ("units", 51, ""), ("units", 61, "phụ lục không đồng"), ("units", 62, "phụ lục không đồng")]
+    assert scanfix.repaired_units(lines, units.limit(0)).count() == 0
+
+
 def test_readings_and_cuts():
     assert dict(scanfix.readings("n9ười"))["người"] == "9>g" and "chưa" in dict(scanfix.readings("cliưa")) and "hợp" in dict(scanfix.readings("liợp"))
     assert scanfix.doubtful("iigười") and not scanfix.doubtful("238a") and not scanfix.doubtful("liên") and not scanfix.doubtful("B1")

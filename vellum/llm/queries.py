@@ -17,6 +17,7 @@ def queries() -> dict:
         "p2_statistics": on(quality.document_statistics, "ocr_lines"),
         "p3_found": on(scanfix.found, "ocr_lines", "units"),
         "p3_paragraphs": on(scanfix.paragraphs, "ocr_lines", "units"),
+        "p3_units": on(scanfix.repaired_units, "ocr_lines", "units"),
         "p4_found": on(terms.found, "units"),
         "p4_terms": on(terms.term_statistics, "units"),
         "p5_found": on(lookalike.found, "units", "ocr_lines"),

@@ -321,10 +321,11 @@ def decode(places: list[dict], grams: dict[str, int], chart: dict[str, float]) -
     return out
 
 
-def corrections(rows: DataFrame, units: DataFrame) -> DataFrame:
-    """(tab, row_id, wrong, right): the misread tokens of rows (as of _inspect) in order, and what was printed."""
+def corrections(rows: DataFrame, units: DataFrame, tab: str | None = None) -> DataFrame:
+    """(tab, row_id, wrong, right): the misread tokens of rows (as of _inspect) in order, and what was printed. tab: only of this; confusions are counted over all rows."""
     noisy = rows.where(F.size("places") > 0).select("tab", "row_id", "places")
     chart = confusion_table(noisy)
+    noisy = noisy.where(F.col("tab") == tab) if tab else noisy
     model = language_model(units)
     def ask(cols: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {"tab": [], "row_id": [], "gram": []}
@@ -449,3 +450,30 @@ def paragraphs(ocr_lines: DataFrame, units: DataFrame) -> DataFrame:
         return {n: cols[n] for n in ("doc", "paragraph_no", "page")} | {"text": [joined([x["text"] for x in p]) for p in cols["parts"]]}
 
     return arrow_map(parts, glue, "doc string, paragraph_no bigint, page int, text string")
+
+
+def repaired_units(ocr_lines: DataFrame, units: DataFrame) -> DataFrame:
+    """(tab, row_id, text): the text of every OCR unit as one readable paragraph, each unit id once.
+
+    Corrections, titles and page numbers are those of p3_found: misread words are
+    corrected, a running title goes from the top of its unit, words cut within the unit
+    are put together. A unit that was nothing but noise comes out empty. Documents of
+    problem 2 and null texts are left out. A word cut at the end of a unit stays cut,
+    for its rest is the text of another row.
+    """
+    rows = inspected(ocr_lines, units)
+    fixes = corrections(rows, units, "units").select("row_id", "wrong", "right").dropDuplicates(["row_id"])
+    titles = running_titles(rows).where("tab = 'units'").select("row_id", F.lit(True).alias("titled")).distinct()
+    marks = rows.where("tab = 'units'").groupBy("row_id").agg(F.max("number").alias("number"))
+    marks = marks.join(titles, "row_id", "left").join(fixes, "row_id", "left")
+    texts = units.where("ocr and unit_id is not null and doc is not null and text is not null")
+    texts = texts.groupBy(F.col("unit_id").cast("bigint").alias("row_id")).agg(F.min("text").alias("text"))
+
+    def write(cols: dict[str, list]) -> dict[str, list]:
+        out = []
+        for text, number, titled, wrong, right in zip(*(cols[n] for n in ("text", "number", "titled", "wrong", "right")), strict=True):
+            lines = corrected(text, wrong, right).split("\n")
+            out.append("" if number else joined(lines[1:] if titled else lines))
+        return {"tab": ["units"] * len(out), "row_id": cols["row_id"], "text": out}
+
+    return arrow_map(texts.join(marks, "row_id"), write, "tab string, row_id bigint, text string")
