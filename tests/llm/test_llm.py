@@ -193,6 +193,15 @@ def test_readings_and_cuts():
     assert scanfix.readings("x" * 10_000) == () and scanfix.title_key("HIỆU LỰC C0NG KHAI 257") == scanfix.title_key("hiệu lực công khai")
 
 
+def test_every_reading_of_a_neighbour_is_asked():
+    places = [{"before": "", "word": "n0!", "after": "th0!"}, {"before": "n0!", "word": "th0!", "after": ""}]
+    model = {"nói": 40, "nòi": 20, "thôi": 60, "thòi": 20, "nòi thòi": 20}
+    asked = set(scanfix._wanted({"places": [places]})["gram"])
+    assert all([w for w, _ in scanfix.plausible(t)].index(x) >= 8 for t, x in (("n0!", "nòi"), ("th0!", "thòi")))  # a pair is asked from both sides
+    assert set(model) <= asked
+    assert scanfix.decode(places, {g: n for g, n in model.items() if g in asked}, {}) == ["nòi", "thòi"]
+
+
 def test_language_model_counts(spark):
     units = spark.createDataFrame([(1, "một hai một", None), (2, "hai một", True), (3, "má»™t", None), (4, None, None)], "unit_id long, text string, ocr boolean")
     assert dict(rows(scanfix.language_model(units))) == {"một": 2, "hai": 1, "một hai": 1, "hai một": 1}

@@ -244,7 +244,7 @@ def _wanted(cols: dict[str, list]) -> dict[str, list]:
 def _sides(word: str) -> list[str]:
     if not word:
         return []
-    return list(dict.fromkeys(w for w, _ in plausible(word)))[:8] if doubtful(word) else [word]
+    return list(dict.fromkeys(w for w, _ in plausible(word))) if doubtful(word) else [word]
 
 
 def confusion_table(rows: DataFrame) -> dict[str, float]:
