@@ -323,6 +323,13 @@ def test_clean_foreign_and_lost():
     assert encoding.repair("phần sau má»™t phần")[0] == "phần sau một phần"
 
 
+def test_garbled_signs():
+    for text in ("§123", "“100", "15°C.", "10€", "£100", "©2020", "½", "Acme™"):
+        bad = misread(text, encoding._CP1252)
+        assert encoding.repair(bad) == (text, "utf8") and encoding.repair(text) == (text, ""), text
+    assert encoding.repair(misread("§123", encoding._CP1252), True)[1] == ""  # junk of scans
+
+
 def test_encoding_table(spark):
     data = [(1, misread(SENTENCE, encoding._CP1252), None), (1, misread(SENTENCE, encoding._CP1252), None), (2, SENTENCE, None), (3, None, None), (4, "", True), (None, "má»™t", None), (5, LONG + " má»™t", None), (6, "x ngh�a", None)]
     df = clashing(spark.createDataFrame(data, "unit_id long, text string, ocr boolean"))

@@ -49,11 +49,16 @@ def _cost(text: str) -> int:
 
 #: What a round trip may end in: western letters, Greek, Cyrillic, marks, and typographic characters of running text.
 _PLAUSIBLE = re.compile(r"[\x00-\x7fÀ-ÖØ-öø-ſƠơƯưŁł\u0300-\u0331Ά-ώЀ-џḀ-ỹ“”‘’„–—•…²³°§«»\xa0]*\Z")
+#: Signs that a round trip may end in besides, but in scans: × is none, for its garbled form is a capital Ã and a dash.
+_SIGNS = str.maketrans(dict.fromkeys("¹‹›€£¥¢©®™÷±·¼½¾¿¡†‡‰−≤≥≠→"))
 _LETTER = re.compile(r"[^\W\d_]")
 
 
-def _utf8(word: str) -> str:
-    """The word after all layers of UTF-8 read as a one-byte encoding are undone; unchanged if no plausible word comes out."""
+def _utf8(word: str, scanned: bool = False) -> str:
+    """The word after all layers of UTF-8 read as a one-byte encoding are undone; unchanged if no plausible word comes out.
+
+    Junk of scans makes round trips by chance: there no sign is admitted, and a longer result needs two letters.
+    """
     given = word
     while True:
         best, cost = None, _cost(word)
@@ -65,7 +70,9 @@ def _utf8(word: str) -> str:
             if (now := _cost(step)) < cost or (best is None and now == cost and len(step) < len(word)):
                 best, cost = step, now
         if best is None:
-            return word if _PLAUSIBLE.match(word) and (len(_LETTER.findall(word)) > 1 or len(word) <= 3) else given
+            if scanned:
+                return word if _PLAUSIBLE.match(word) and (len(_LETTER.findall(word)) > 1 or len(word) <= 3) else given
+            return word if _PLAUSIBLE.match(word.translate(_SIGNS)) else given
         word = best
 
 
@@ -82,14 +89,14 @@ def _by_letters(word: str, decoded: str) -> bool:
 
 
 @lru_cache(maxsize=500_000)
-def mend(word: str) -> tuple[str, str]:
+def mend(word: str, scanned: bool = False) -> tuple[str, str]:
     """(restored word, evidence): utf8, or those of vni, tcvn3 and weak that apply; empty if nothing was found.
 
     weak: only a soft hyphen or a not sign speaks for TCVN3, which may be a hyphen as well.
     """
     if all(c in ALPHABET or ord(c) < 128 for c in word):
         return word, ""
-    if (out := _utf8(word)) != word:
+    if (out := _utf8(word, scanned)) != word:
         return out, "utf8"
     if any(ord(c) > 0x17F or c in "ăĂđĐ" for c in word.strip(_EDGES)):
         return word, ""  # a letter that no one-byte chart of western text has
@@ -122,7 +129,7 @@ def repair(text: str | None, scanned: bool = False) -> tuple[str | None, str]:
     if _PLAIN.issuperset(text):
         return text, "+".join(kinds)
     pieces = _GAP.split(text)
-    done = [mend(w) for w in pieces]
+    done = [mend(w, scanned) for w in pieces]
     fixed = [d for d, _ in done]
     evidence = [set(h.split("+")) for _, h in done]
     if any("utf8" in h for h in evidence):
