@@ -153,7 +153,7 @@ def _features(around: Surroundings, start: int, end: int, label: str) -> list[st
         f += [f"title={title}", f"street={b1 in STREET_WORDS or b2 in STREET_WORDS and b1 == '.'}", f"group={b1 in GROUP_WORDS or b2 in GROUP_WORDS}"]
         f += [f"groupend={a1 in GROUP_WORDS or low[-1] in GROUP_WORDS}", f"place={low[-1] in PLACE_WORDS}"]
         f += [f"way={low[-1] in WAYS or a1 in WAYS}", f"waybefore={b1 == ',' and b2 in WAYS}", f"number={b1.isdigit()}", f"starts={low[0] in TITLES or low[0] in GROUP_WORDS or low[0] in STREET_WORDS}"]
-        f += [f"upper={upper}", f"upper={upper}_run={run}_title={title}", f"upper={upper}_run={run}_family={family}", f"more={right > 0}", f"left={left > 0}"]
+        f += [f"upper={upper}", f"upper={upper}_run={run}_title={title}", f"upper={upper}_run={run}_family={family}", f"more={right > 0}_upper={upper}", f"left={left > 0}_upper={upper}"]
         f += [f"family={family}_n={min(7, len(parts))}", f"latin={span.isascii()}", f"latin={span.isascii()}_fresh={fresh}", f"latin={span.isascii()}_title={title}"]
     elif label in ("phone", "id_number"):
         digits = re.sub(r"\D", "", span)
@@ -281,7 +281,7 @@ def _made(r: random.Random) -> tuple[str, list[tuple[int, int, str]]]:
         parts = [r.choice(_FAMILY).title(), middle, r.choice(_GIVEN)]
         if r.random() < 0.1:
             del parts[1]
-        while r.random() < 0.12:
+        while r.random() < 0.2:
             parts.insert(-1, r.choice(_GIVEN))
         name = " ".join(parts)
         return name.upper() if r.random() < 0.15 else name
