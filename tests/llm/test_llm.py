@@ -10,9 +10,10 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from vellum.functions.text import TCVN3, VNI_PAIRS
+from vellum.functions.text import VNI_PAIRS
 from vellum.llm import boilerplate, encoding, leakage, lookalike, mixing, pii, quality, scanfix, terms
 from vellum.llm.common import once
+from vellum.llm.encoding import TCVN3
 
 LONG = "người quản lý di sản xem xét lại hợp đồng mẫu " * 20_000
 
@@ -75,12 +76,34 @@ def test_repeated_lines_against_brute_force(spark):
     assert set(texts) == {d for _, d, *_ in data if d} and not any(re.search(r"^Trang \d+$", t, re.MULTILINE) for d, t in texts.items() if d.startswith("hot"))
 
 
-def test_tree_levels():
+def test_tree_levels_and_slots():
     tree = boilerplate.TokenTree()
     for i, doc in enumerate("aab"):
-        tree.add("o", doc, f"Số {i} của năm")
+        tree.add("o", doc, f"Số {i} của năm 2020")
     tree.add("o", "c", "x")
-    assert sorted((o, t, sorted(d)) for o, t, d in tree.templates()) == [("o", "số 0 của năm", ["a", "b"]), ("o", "x", ["c"])]
+    assert sorted((o, k, t, sorted(d)) for o, k, t, d in tree.leaves()) == [("o", "số 0 của năm 0", ["số", None, "của", "năm", "2020"], ["a", "b"]), ("o", "x", ["x"], ["c"])]
+    assert set(tree.root["o"]["số"]["0"]["của"]) == {None} and tree.held == 3
+
+
+def test_trees_merge_in_any_order():
+    r = random.Random(5)
+    lines = [(r.choice("op"), r.choice("abcd"), r.choice(["Trang {}", "Số {} của {}", "a b c d {}", "{}"]).format(r.randrange(3), r.randrange(2))) for _ in range(60)]
+    whole = boilerplate.TokenTree()
+    parts = [boilerplate.TokenTree() for _ in range(4)]
+    for i, line in enumerate(lines):
+        whole.add(*line)
+        parts[i % 4].add(*line)
+    plain = lambda t: sorted((o, k, str(f), sorted(d)) for o, k, f, d in t.leaves())
+    for order in ((0, 1, 2, 3), (3, 1, 0, 2)):
+        merged = boilerplate.TokenTree()
+        for i in order:
+            merged.merge(parts[i])
+        assert plain(merged) == plain(whole) and merged.held == whole.held
+
+
+def test_marks_behind_a_line_do_not_count():
+    assert len({boilerplate.template(t) for t in ("Trang 3", "Trang 4 *", "- Trang 5".removeprefix("- "), "TRANG 6 …!", "Trang 7 -_")}) == 1
+    assert boilerplate.template("* * *") == boilerplate.template("* * *") != ""
 
 
 # --- 2 -------------------------------------------------------------------------------------------

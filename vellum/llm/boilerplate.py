@@ -1,75 +1,133 @@
 """Problem 1: lines repeated across the documents of one origin.
 
-Every line is parsed into a template by a token tree of fixed depth: the path to a
-leaf is the origin and the first tokens, a number takes a wildcard slot, and a leaf
-holds the templates below it. Each batch of lines builds its own tree and gives out
-each of its (origin, template, document) once; trees of all partitions are merged by
-a grouping on (origin, template), which also counts the documents. Templates that
-cover enough documents of the origin are removed.
+Every line is parsed into a template by a token tree of fixed depth. A line goes down
+from its origin along its first DEPTH tokens, one level each, where a number takes the
+wildcard branch; the leaf holds templates. A line joins the template of its leaf that
+has the same words, and a number in which it differs from that template becomes a
+wildcard slot there. Every partition grows a tree of its own over all its batches; two
+trees are merged node by node, in any order with the same result. What comes out of a
+tree is each template with the documents it covers, and the trees of all partitions are
+merged by a grouping on (origin, template), for their documents do not fit one task.
+Templates that cover enough documents of the origin are removed.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from hashlib import blake2b
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.functions.shapes import latin_shape
+from vellum.functions.columns import WS
 from vellum.llm.common import arrow_map
+from vellum.llm.shapes import IGNORABLE, LOOKALIKE, SPACES, WIDTH, latin_shape
 from vellum.session import written
 
+#: Levels of tokens below the origin.
 DEPTH = 3
 #: What stands for a number.
 SLOT = "0"
-_NUMBER = re.compile(r"\d+")
-_TOKEN = re.compile(r"0|[^\W\d_]+|[^\w\s]|_")
-_CLOSING = " \t\r\n.,;:!?…\"”’»)]"
+#: Templates with their documents that the tree of a partition holds before it is given out and begun again.
+HELD = 200_000
+_TOKEN = re.compile(r"\d+|[^\W\d_]+|[^\w\s]|_")
+#: Marks and spaces behind the wording.
+_CLOSING = re.compile(r"[\W_]+\Z")
 
 
-def template(text: str) -> str:
-    """The wording of a line: numbers are slots; letter case, spacing, closing marks and character form do not count."""
+def tokens(text: str) -> list[str]:
+    """Words, numbers and marks of a line: letter case, spacing, closing marks and character form do not count."""
     line = latin_shape(text).lower()
-    return " ".join(_TOKEN.findall(_NUMBER.sub(SLOT, line.rstrip(_CLOSING) or line)))
+    return _TOKEN.findall(_CLOSING.sub("", line) or line)
+
+
+def template(text: str) -> str:
+    """The wording of a line: its tokens with a slot for every number."""
+    return " ".join([SLOT if t.isdecimal() else t for t in tokens(text)])
 
 
 class TokenTree:
-    """Templates under the path (origin, first DEPTH tokens), each with the documents it was seen in.
+    """Origin, then one level for each of the first DEPTH tokens of a template; a leaf maps the words of a template to [tokens, documents].
 
-    The inner levels have a fixed depth, so that a path is kept as one key.
+    A token of a template is a word, a number that all its lines share, or None where
+    their numbers differ: a wildcard slot.
     """
 
     def __init__(self) -> None:
-        self.leaves: dict[tuple, dict[str, dict[str, None]]] = {}
+        self.root: dict = {}
+        self.held = 0
 
     def add(self, origin: str, doc: str, line: str) -> None:
-        found = template(line)
+        found = tokens(line)
         if found:
-            leaf = self.leaves.setdefault((origin, *found.split(" ", DEPTH)[:DEPTH]), {})
-            leaf.setdefault(found, {})[doc] = None
-
-    def templates(self):
-        """(origin, template, documents) of every leaf."""
-        for path, leaf in self.leaves.items():
-            for found, docs in leaf.items():
-                yield path[0], found, docs
+            words = [SLOT if t.isdecimal() else t for t in found]
+            self._put(origin, words, found, (doc,))
+
+    def _put(self, origin: str, words: list[str], found: list[str | None], docs) -> None:
+        node = self.root.setdefault(origin, {})
+        for token in words[:DEPTH]:
+            node = node.setdefault(token, {})
+        leaf = node.setdefault(None, {})
+        key = " ".join(words)
+        known = leaf.get(key)
+        if known is None:
+            known = leaf[key] = [found, {}]
+        elif known[0] != found:
+            known[0] = [a if a == b else None for a, b in zip(known[0], found, strict=True)]
+        before = len(known[1])
+        known[1].update(dict.fromkeys(docs))
+        self.held += len(known[1]) - before
+
+    def leaves(self) -> Iterator[tuple[str, str, list[str | None], dict[str, None]]]:
+        """(origin, words with slots, tokens, documents) of every template."""
+
+        def below(node: dict) -> Iterator[tuple[str, list]]:
+            for token, child in node.items():
+                if token is None:
+                    yield from child.items()
+                else:
+                    yield from below(child)
+
+        for origin, node in self.root.items():
+            for key, (found, docs) in below(node):
+                yield origin, key, found, docs
+
+    def merge(self, other: TokenTree) -> TokenTree:
+        """This tree with all templates of another; the order of merging does not matter."""
+        for origin, key, found, docs in other.leaves():
+            self._put(origin, key.split(" "), found, docs)
+        return self
 
 
 def _key(found: str) -> bytes:
     return blake2b(found.encode(), digest_size=16).digest()
 
 
-def _trees(cols: dict[str, list]) -> dict[str, list]:
+_COVERED = pa.schema([("origin", pa.string()), ("doc", pa.string()), ("template", pa.binary())])
+
+
+def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The tree of a partition as rows (origin, doc, template), each once; a tree grown large is given out before the next begins."""
+
+    def out(tree: TokenTree) -> Iterator[pa.RecordBatch]:
+        cols: tuple[list, list, list] = ([], [], [])
+        for origin, key, _, docs in tree.leaves():
+            cols[0].extend([origin] * len(docs))
+            cols[1].extend(docs)
+            cols[2].extend([_key(key)] * len(docs))
+        if cols[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(cols, _COVERED, strict=True)], schema=_COVERED)
+
     tree = TokenTree()
-    for origin, doc, text in zip(cols["origin"], cols["doc"], cols["text"], strict=True):
-        tree.add(origin, doc, text)
-    out: dict[str, list] = {"origin": [], "template": [], "doc": []}
-    for origin, found, docs in tree.templates():
-        out["origin"] += [origin] * len(docs)
-        out["template"] += [_key(found)] * len(docs)
-        out["doc"] += docs
-    return out
+    for batch in batches:
+        for origin, doc, text in zip(*(batch.column(n).to_pylist() for n in ("origin", "doc", "text")), strict=True):
+            tree.add(origin, doc, text)
+        if tree.held >= HELD:
+            yield from out(tree)
+            tree = TokenTree()
+    yield from out(tree)
 
 
 def _keys(cols: dict[str, list]) -> dict[str, list]:
@@ -84,7 +142,7 @@ def repeated_lines(lines: DataFrame, share: float = 0.2, least: int = 3) -> Data
     of punctuation only are templates too; a repeated line_id is given once. Documents
     are counted over all lines of the origin. An empty table gives no rows. No group is
     collected anywhere: a hot origin is spread over its templates, and each template
-    reaches the shuffle once per batch and document.
+    reaches the shuffle once per document from each partition.
     """
     text = lines.where("origin is not null and doc is not null and text is not null").select("line_id", "origin", "text")
     keyed = arrow_map(text, _keyed, "line_id bigint, origin string, template binary")
@@ -104,7 +162,7 @@ def _covering(lines: DataFrame, share: float, least: int) -> DataFrame:
     """
     rows = lines.select("origin", "doc", "text").where("origin is not null and doc is not null")
     docs = rows.select("origin", "doc").distinct().groupBy("origin").agg(F.count("*").alias("_docs"))
-    merged = arrow_map(rows.where("text is not null"), _trees, "origin string, doc string, template binary").distinct()
+    merged = rows.where("text is not null").mapInArrow(_trees, "origin string, doc string, template binary").distinct()
     counted = merged.groupBy("origin", "template").agg(F.count("*").alias("_in")).join(docs, "origin")
     return written(counted.where((F.col("_in") >= least) & (F.col("_in") >= F.lit(share) * F.col("_docs"))).select("origin", "template"))
 
@@ -130,3 +188,26 @@ def without_repeated(lines: DataFrame, share: float = 0.2, least: int = 3) -> Da
 def found(lines: DataFrame) -> DataFrame:
     """p1_found: each line to be removed."""
     return repeated_lines(lines)
+
+
+# --- the same in SQL -----------------------------------------------------------------------
+
+
+def _quoted(chars: str) -> str:
+    return "'" + chars.replace("'", "''") + "'"
+
+
+def _template_sql(c: str) -> str:
+    """template() of a column in DuckDB."""
+    shape = f"lower(translate(nfc_normalize(translate({c}, {_quoted(''.join(WIDTH) + SPACES + IGNORABLE)}, {_quoted(''.join(WIDTH.values()) + ' ' * len(SPACES))})), {_quoted(''.join(LOOKALIKE))}, {_quoted(''.join(LOOKALIKE.values()))}))"
+    bare = f"regexp_replace({shape}, '[^\\p{{L}}\\p{{N}}]+$', '')"
+    line = f"regexp_replace(CASE WHEN {bare} = '' THEN {shape} ELSE {bare} END, '\\p{{Nd}}+', '{SLOT}', 'g')"
+    return f"array_to_string(regexp_extract_all({line}, '{SLOT}|[\\p{{L}}\\p{{Nl}}\\p{{No}}]+|[^\\p{{L}}\\p{{N}}\\x1C-\\x1F{WS[1:-1]}]'), ' ')"
+
+
+_COVERING_SQL = f"""WITH x AS (SELECT *, {_template_sql("text")} AS t FROM doc_lines),
+n AS (SELECT origin, count(DISTINCT doc) AS docs FROM x WHERE origin IS NOT NULL AND doc IS NOT NULL GROUP BY origin),
+c AS (SELECT origin, t FROM x JOIN n USING (origin) WHERE doc IS NOT NULL AND t <> '' GROUP BY origin, t HAVING count(DISTINCT doc) >= 3 AND count(DISTINCT doc) >= 0.2::DOUBLE * any_value(docs))"""
+FOUND_SQL = f"{_COVERING_SQL} SELECT DISTINCT line_id FROM x JOIN c USING (origin, t) WHERE doc IS NOT NULL"
+DOCUMENTS_SQL = f"""{_COVERING_SQL}, d AS (SELECT DISTINCT doc, page, line_no, line_id, text, c.t IS NULL AND text IS NOT NULL AS kept FROM x LEFT JOIN c USING (origin, t) WHERE doc IS NOT NULL)
+SELECT doc, coalesce(string_agg(text, chr(10) ORDER BY page NULLS FIRST, line_no NULLS FIRST, line_id NULLS FIRST) FILTER (kept), '') AS text FROM d GROUP BY doc"""

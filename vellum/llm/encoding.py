@@ -16,7 +16,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.functions.text import ALPHABET, LETTERS, TCVN3, VNI_ONLY, decode_vni, is_syllable
+from vellum.functions.text import ALPHABET, LETTERS, VNI_ONLY, decode_vni, is_syllable
 from vellum.llm.common import arrow_map
 
 
@@ -76,6 +76,14 @@ def _utf8(word: str, scanned: bool = False) -> str:
         word = best
 
 
+#: TCVN 5712:1993 VN3 in code order from 0xA1; "." marks a code that is no letter.
+TCVN3 = {
+    0xA1 + i: c
+    for i, c in enumerate(
+        "ĂÂÊÔƠƯĐăâêôơưđ......àảãáạ.ằẳẵắ.......ặầẩẫấậè.ẻẽéẹềểễếệìỉ...ĩíịò.ỏõóọồổỗốộờởỡớợù.ủũúụừửữứựỳỷỹýỵ"
+    )
+    if c != "."
+}
 _TCVN3 = {c: v for c, v in TCVN3.items() if c not in (0xAC, 0xAD)}
 _CHARTS = {"vni": decode_vni, "tcvn3": lambda w: w.translate(TCVN3)}
 

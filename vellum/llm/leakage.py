@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.functions.shapes import IGNORABLE, latin_shape
+from vellum.llm.shapes import IGNORABLE, latin_shape
 from vellum.functions.text import strip_accents
 
 Q = 16

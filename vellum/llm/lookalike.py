@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vellum.functions.shapes import IGNORABLE, LOOKALIKE, SPACES, WIDTH, latin_shape, plain_shape
+from vellum.llm.shapes import IGNORABLE, LOOKALIKE, SPACES, WIDTH, latin_shape, plain_shape
 from vellum.llm.common import arrow_map, once
 from vellum.llm.encoding import repair
 

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.functions.shapes import latin_shape
+from vellum.llm.shapes import latin_shape
 from vellum.functions.text import is_syllable
 from vellum.llm.common import arrow_map
 from vellum.session import written

@@ -34,4 +34,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p4_found": terms.FOUND_SQL, "p4_terms": terms.TERMS_SQL}
+    return {"p1_found": boilerplate.FOUND_SQL, "p1_documents": boilerplate.DOCUMENTS_SQL, "p4_found": terms.FOUND_SQL, "p4_terms": terms.TERMS_SQL}

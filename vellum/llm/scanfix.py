@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellum.functions.shapes import latin_shape
+from vellum.llm.shapes import latin_shape
 from vellum.functions.text import ONSETS, RIMES, TONES, VOWELS, is_syllable, strip_accents
 from vellum.llm import quality
 from vellum.llm.common import arrow_map, once
