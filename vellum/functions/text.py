@@ -96,13 +96,3 @@ def decode_vni(text: str) -> str:
         else:
             out[-1] = merged
     return "".join(out)
-
-
-#: TCVN 5712:1993 VN3 in code order from 0xA1; "." marks a code that is no letter.
-TCVN3 = {
-    0xA1 + i: c
-    for i, c in enumerate(
-        "ĂÂÊÔƠƯĐăâêôơưđ......àảãáạ.ằẳẵắ.......ặầẩẫấậè.ẻẽéẹềểễếệìỉ...ĩíịò.ỏõóọồổỗốộờởỡớợù.ủũúụừửữứựỳỷỹýỵ"
-    )
-    if c != "."
-}
