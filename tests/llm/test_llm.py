@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import re
 import unicodedata
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,25 +144,72 @@ def test_kinds_of_documents(spark):
     assert stats["table0"]["table_share"] > 0.9 and stats["junk1"]["known_words"] < 0.5 and 3 < stats["prose2"]["mean_word_length"] < 5
 
 
-def test_viterbi_against_all_paths():
-    import itertools
+def some_model(seed=0):
+    r = np.random.default_rng(seed)
+    return quality.Model(r.dirichlet(np.ones(4)), r.dirichlet(np.ones(4), 4), [r.dirichlet(np.ones(n), 4) for n in quality.SYMBOLS]), r
 
-    import numpy as np
 
-    r = np.random.default_rng(0)
-    start, emit, trans = np.log(r.dirichlet(np.ones(4))), [np.log(r.dirichlet(np.ones(n), 4)) for n in quality.SYMBOLS], np.log(r.dirichlet(np.ones(4), 4))
-    codes = [quality._code([int(r.integers(n)) for n in quality.SYMBOLS]) for _ in range(5)] + [quality.NUMBER]
+def path_score(model, codes, path):
+    score = np.log(model.start[path[0]])
+    for i, c in enumerate(codes):
+        score += (np.log(model.trans[path[i - 1], path[i]]) if i else 0) + model.seen[c][path[i]]
+    return score
 
-    def score(path):
-        s = start[path[0]]
-        for i, c in enumerate(codes):
-            s += trans[path[i - 1], path[i]] if i else 0
-            s += sum(e[path[i], x] for e, x in zip(emit, quality._features_of(c), strict=True)) if c != quality.NUMBER else 0
-        return s
 
-    best = max(itertools.product(range(4), repeat=len(codes)), key=score)
-    assert quality.viterbi(codes, (start, emit, trans)) == list(best) and quality.viterbi([], (start, emit, trans)) == []
+def test_viterbi_against_all_paths():
+    model, r = some_model()
+    chains = [np.append(r.integers(0, quality.CODES, n), quality.CODES) for n in (4, 0, 2, 5)]
+    flat, ends = np.concatenate(chains), np.cumsum([len(c) for c in chains])
+    want = [max(itertools.product(range(4), repeat=len(c)), key=lambda p, c=c: path_score(model, c, p)) for c in chains]
+    assert quality.viterbi(flat, ends, model).tolist() == [x for p in want for x in p]
+    assert quality.viterbi(flat[:0], ends[:0], model).tolist() == []
     assert quality._features_of(quality._code([2, 3, 4, 1, 0, 2, 1])) == [2, 3, 4, 1, 0, 2, 1]
+    row = quality._code([2, 3, 4, 1, 0, 2, 1])
+    assert abs(model.seen[row] - sum(np.log(e[:, x]) for e, x in zip(model.emit, [2, 3, 4, 1, 0, 2, 1], strict=True))).max() < 1e-9
+
+
+def test_expected_counts_against_all_paths():
+    model, r = some_model(1)
+    codes = r.integers(0, quality.CODES, 5)
+    start, steps, counts = quality.expected(codes, np.array([5]), model)
+    paths = list(itertools.product(range(4), repeat=5))
+    weight = np.exp([path_score(model, codes, p) for p in paths])
+    weight /= weight.sum()
+    for k in range(4):
+        assert abs(start[k] - sum(w for p, w in zip(paths, weight, strict=True) if p[0] == k)) < 1e-9
+        assert abs(counts[codes[2], k] - sum(w for p, w in zip(paths, weight, strict=True) for i in range(5) if codes[i] == codes[2] and p[i] == k)) < 1e-9
+        for j in range(4):
+            assert abs(steps[k, j] - sum(w * sum(a == k and b == j for a, b in itertools.pairwise(p)) for p, w in zip(paths, weight, strict=True))) < 1e-9
+
+
+def test_long_pages_as_in_one_piece(spark, monkeypatch):
+    model, r = some_model(2)
+    codes = r.integers(0, quality.CODES, 400)
+    whole = quality.viterbi(codes, np.array([400]), model)
+    cuts = np.array([90, 170, 171, 400])
+    cross = quality.crossing(codes, cuts, model, np.array([True, False, False, False]))
+    leave = np.array(quality.borders(list(cross)))
+    assert (quality.viterbi(codes, cuts, model, np.array([-1, *leave[:-1]]), leave) == whole).all()
+    lines = [(i, d, p, i, random.Random(i).choice(sum(KINDS.values(), [])), 50.0, None, None, None) for d, p in (("a", 1), ("b", None)) for i in range(30)]
+    lines = [(n, *x[1:]) for n, x in enumerate(lines)]
+    df = spark.createDataFrame(lines, OCR)
+    monkeypatch.setattr(quality, "model_of", lambda pages: model)
+    labels = lambda: {r["id"]: r["label"] for r in quality.label_lines(df).collect()}
+    want = labels()
+    monkeypatch.setattr(quality, "PIECE", 7)
+    assert labels() == want and len(want) == 60
+
+
+def test_neighbours_decide_what_no_rule_can(spark):
+    """The same words are a list entry amid entries and prose amid prose; the line itself is not clear."""
+    entry, same = "a) biên bản giao nhận", "biên bản giao nhận tài liệu"
+    assert quality.first_label(quality._features_of(quality.code_of(same))) == -1
+    docs = {f"list{i}": KINDS["list"] * 6 + [entry] * 3 + [same] + [entry] * 3 + KINDS["list"] * 6 for i in range(3)}
+    docs |= {f"prose{i}": PROSE * 8 + [same] + PROSE * 8 for i in range(3)}
+    data = ocr(spark, docs)
+    text = {r[0]: r[4] for r in data}
+    got = {(r["doc"][:4], r["label"]) for r in quality.label_lines(spark.createDataFrame(data, OCR)).collect() if text[r["id"]] == same}
+    assert got == {("list", "list"), ("pros", "prose")}
 
 
 # --- 3 -------------------------------------------------------------------------------------------
