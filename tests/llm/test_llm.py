@@ -356,7 +356,50 @@ def test_trie_automaton():
     trie = lookalike.Trie()
     for w, n in (("của", 5), ("cua", 9), ("cấp", 1)):
         trie.add(w, n)
-    assert trie.walk("сủа") == "của" and trie.walk("с​ấр") == "cấp" and trie.walk("xyz") is None and trie.walk("cux", budget=1) == "cua"
+    assert trie.walk("сủа") == "của" and trie.walk("с​ấр") == "cấp" and trie.walk("xyz") is None
+    assert trie.walk("cux") is None and trie.walk("cux", budget=lookalike.EDIT) == "cua" and trie.walk("ca", budget=lookalike.EDIT) == "cua" and trie.walk("cuua", budget=lookalike.EDIT) == "cua"
+    assert trie.walk("cυа") == "cua" and trie.walk("cμa") is None and trie.walk("cμa", budget=1) == "cua"
+
+
+def brute_walk(words, word, budget):
+    def cost(a, b):
+        table = {(0, 0): 0}
+        for i in range(len(a) + 1):
+            for j in range(len(b) + 1):
+                ways = [table[0, 0]] if i == j == 0 else []
+                if i and j:
+                    free = b[j - 1] in (a[i - 1].lower(), lookalike.LOOKALIKE.get(a[i - 1], a[i - 1]).lower())
+                    ways.append(table[i - 1, j - 1] + (0 if free else lookalike.NEARLY if b[j - 1] in lookalike.NEAR.get(a[i - 1].lower(), "") else lookalike.EDIT))
+                if i:
+                    ways.append(table[i - 1, j] + (0 if a[i - 1] in lookalike.IGNORABLE else lookalike.EDIT))
+                if j:
+                    ways.append(table[i, j - 1] + lookalike.EDIT)
+                table[i, j] = min(ways)
+        return table[len(a), len(b)]
+
+    found = [(c, -n, w) for w, n in words.items() if (c := cost(word, w)) <= budget]
+    return min(found)[2] if found else None
+
+
+def test_automaton_against_edit_distance():
+    r = random.Random(8)
+    words = {"".join(r.choice("abnhuvy") for _ in range(r.randint(1, 4))): r.randint(1, 9) for _ in range(40)}
+    trie = lookalike.Trie()
+    for w, n in words.items():
+        trie.add(w, n)
+    for _ in range(300):
+        word, budget = "".join(r.choice("abnυνηаһ​А") for _ in range(r.randint(1, 4))), r.choice([0, 1, 2, 1000, 1001, 2000])
+        assert trie.walk(word, budget) == brute_walk(words, word, budget), (word, budget)
+
+
+def test_the_vocabulary_overrules_the_table(spark):
+    """By the table υ is u; only the tries know that it stands for a v here, and that η is an n or an h."""
+    cases = {1: ("υăn bản", "văn bản"), 2: ("υui", "vui"), 3: ("Lụậη", "Lụậη"), 4: ("luậη ηhà", "luận nhà"), 5: ("ηόmos 5μm", "ηόmos 5μm"), 6: ("tυần", "tuần")}
+    data = [(k, t, None) for k, (t, _) in cases.items()] + [(50, "văn bản vui luận nhà tuần", None)]
+    texts = lookalike.texts(spark.createDataFrame(data, "unit_id long, text string, ocr boolean"))
+    got = {k: x for _, k, x in rows(lookalike.consistent(texts))}
+    assert {k: got[k] for k in cases} == {k: x for k, (_, x) in cases.items()}
+    assert {k for _, k in rows(lookalike.look_alikes(texts))} == {1, 2, 4, 6}
 
 
 # --- 6 -------------------------------------------------------------------------------------------

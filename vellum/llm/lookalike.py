@@ -4,9 +4,12 @@ Characters that print nothing, other spaces, full-width forms and uncomposed acc
 are wrong wherever they stand. Letters of another script that pass for Latin ones are
 wrong only in a word meant as Latin, which the vocabulary decides: plain words of all
 texts, counted, go into tries, and a weighted edit automaton walks a trie along each
-doubtful word, where a look-alike or an ignorable costs nothing. The most frequent
-plain word reached at no cost is the canonical spelling. A word that reaches none is
-normalised by the table if it mixes scripts, and left alone if it is all of one.
+doubtful word. A look-alike or an ignorable costs nothing, a letter that is only near in
+look costs 1, another edit 1000. A word all of the other script may cost nothing; one that
+mixes scripts was meant as Latin and may cost 1 for each near letter it has. The
+cheapest plain word, of these the most frequent, is the canonical spelling. A word that
+reaches none is normalised by the table if it mixes scripts and the table knows all its
+letters, and left alone otherwise.
 """
 
 from __future__ import annotations
@@ -29,8 +32,26 @@ _OTHER = "Ͱ-ӿðÐƉԀ-ԯ"
 _DOUBT = re.compile(f"[{_OTHER}]")
 _ANY = re.compile("[" + IGNORABLE + SPACES + "".join(WIDTH) + f"̀-ͯ{_OTHER}]")
 _WORD = re.compile(r"[^\W\d_]+")
+#: Small letters of other scripts with the Latin letters that they are near to in look, beside the one they pass for (fixed values).
+NEAR = {"υ": "vy", "ν": "u", "η": "nh", "ω": "w", "μ": "u", "σ": "o", "θ": "o", "β": "b", "δ": "d", "ε": "e", "г": "r", "п": "n", "и": "u", "й": "u", "в": "b", "н": "h", "к": "k", "м": "m", "т": "t", "ь": "b", "ъ": "b", "ш": "w", "ӏ": "l", "ԍ": "g"}
 _LATIN = re.compile("[a-zA-ZÀ-ÏÑ-ïñ-ƈƊ-ƿḀ-ỿ]")
 BUCKETS = 256
+#: Cost of a near letter and of any other edit, which is more than any word is allowed here.
+NEARLY, EDIT = 1, 1000
+
+
+def _classes() -> dict[int, str]:
+    """Latin small letters that one and the same letter may stand for, all under the first of them."""
+    group = {c: c for c in "abcdefghijklmnopqrstuvwxyzđ"}
+    for c in sorted({*NEAR, *LOOKALIKE}):
+        alike = [*({LOOKALIKE[c].lower()} if c in LOOKALIKE else ()), *NEAR.get(c.lower(), "")]
+        for other in alike[1:]:
+            old, new = group[other], group[alike[0]]
+            group |= {k: new for k, v in group.items() if v == old}
+    return {ord(k): v for k, v in group.items() if k != v}
+
+
+CLASSES = _classes()
 
 
 class Trie:
@@ -46,37 +67,59 @@ class Trie:
         node[""] = node.get("", 0) + count
 
     def walk(self, word: str, budget: int = 0) -> str | None:
-        """The most frequent word within the edit budget, cheapest first; ties go to the first in order.
+        """The most frequent word within the budget, cheapest first; ties go to the first in order.
 
         States are (node, cost); a letter moves along its own edge or that of the Latin
-        letter it looks like at no cost, an ignorable stays at no cost, any other edit
-        costs one. Edges are small letters; a capital is mapped before its case goes,
-        for it may look like another letter than its small form, or like one alone.
+        letter it looks like at no cost, along that of a near letter for NEARLY, and any
+        other edit costs EDIT; an ignorable stays at no cost. Edges are small letters; a
+        capital is mapped before its case goes, for it may look like another letter than
+        its small form, or like one alone.
         """
         states = {(id(self.root), ""): (self.root, 0)}
+
+        def go(to: dict, node: dict, path: str, cost: int) -> None:
+            if cost <= budget and to.get((id(node), path), (None, budget + 1))[1] > cost:
+                to[id(node), path] = (node, cost)
+
+        def added(to: dict) -> dict:
+            """The states with letters of the vocabulary that the word lacks."""
+            if budget >= EDIT:
+                queue = list(to.items())
+                for (_, path), (node, cost) in queue:
+                    for edge, child in node.items():
+                        if edge and cost + EDIT <= budget:
+                            key = (id(child), path + edge)
+                            if to.get(key, (None, budget + 1))[1] > cost + EDIT:
+                                to[key] = (child, cost + EDIT)
+                                queue.append((key, to[key]))
+            return to
+
+        added(states)
         for c in word:
             following: dict = {}
-            free = (c.lower(), LOOKALIKE.get(c, c).lower())
-
-            def go(node: dict, path: str, cost: int, following: dict = following) -> None:
-                if cost <= budget and following.get((id(node), path), (None, budget + 1))[1] > cost:
-                    following[id(node), path] = (node, cost)
-
+            free, near = (c.lower(), LOOKALIKE.get(c, c).lower()), NEAR.get(c.lower(), "")
             for (_, path), (node, cost) in states.items():
                 if c in IGNORABLE:
-                    go(node, path, cost)
+                    go(following, node, path, cost)
                     continue
                 for edge, child in node.items():
                     if edge:
-                        go(child, path + edge, cost + (edge not in free))
-                go(node, path, cost + 1)
-            states = following
+                        go(following, child, path + edge, cost + (0 if edge in free else NEARLY if edge in near else EDIT))
+                go(following, node, path, cost + EDIT)
+            states = added(following)
         ends = [(cost, -node[""], path) for (_, path), (node, cost) in states.items() if "" in node]
         return min(ends)[2] if ends else None
 
 
 def _skeleton(word: str) -> str:
-    return latin_shape(word).lower()
+    """The same for a word and every plain word that it may reach."""
+    latin = (LOOKALIKE[c].lower() if c in LOOKALIKE else NEAR.get(c.lower(), c.lower())[0] for c in plain_shape(word) if c not in IGNORABLE)
+    return "".join(latin).translate(CLASSES)
+
+
+def _near(word: str) -> int:
+    """Letters of a word that are near to Latin ones: what walking it may cost. A word all of the other script may cost nothing."""
+    return sum(c.lower() in NEAR for c in word) * NEARLY if _mixed(word) else 0
 
 
 @lru_cache(maxsize=100_000)
@@ -94,7 +137,7 @@ def inspect(text: str) -> tuple[bool, list[str]]:
     words = _WORD.findall(plain_shape(text))
     doubtful = []
     for i, w in enumerate(words):
-        if not _DOUBT.search(w) or not all(c in LOOKALIKE for c in w if _DOUBT.match(c)):
+        if not _DOUBT.search(w) or not all(c in LOOKALIKE or c.lower() in NEAR and len(w) > 2 and _mixed(w) for c in w if _DOUBT.match(c)):
             continue
         if not _mixed(w):
             near = words[max(0, i - 1) : i] + words[i + 1 : i + 2]
@@ -126,18 +169,25 @@ def _vocabulary(cols: dict[str, list]) -> dict[str, list]:
 
 
 def _cased(plain: str, word: str) -> str:
-    """A spelling reached at no cost, letter by letter in the case of the word."""
+    """A spelling that was reached letter by letter, in the case of the word."""
+    if len(plain) != len(word):
+        return plain
     return "".join(c if p == c.lower() else p.upper() if c.isupper() else p for p, c in zip(plain, word, strict=True))
 
 
+def _spelling(word: str, trie: Trie) -> str:
+    """The canonical spelling of a doubtful word."""
+    plain = trie.walk(word, _near(word))
+    if plain is not None:
+        return _cased(plain, word)
+    return latin_shape(word) if _mixed(word) and all(c in LOOKALIKE for c in word if _DOUBT.match(c)) else word
+
+
 def _decide(words: pd.DataFrame, vocabulary: pd.DataFrame) -> pd.DataFrame:
     trie = Trie()
     for word, n in zip(vocabulary["word"], vocabulary["n"], strict=True):
         trie.add(word, int(n))
-    form = []
-    for w in words["word"]:
-        plain = trie.walk(w)
-        form.append(_cased(plain, w) if plain is not None else latin_shape(w) if _mixed(w) else w)
+    form = [_spelling(w, trie) for w in words["word"]]
     return pd.DataFrame({"word": pd.Series(list(words["word"]), dtype=object), "form": pd.Series(form, dtype=object)})
 
 
@@ -158,19 +208,21 @@ def spellings(rows: DataFrame) -> DataFrame:
     """(word, form): every word of other-script letters that occurs, with its canonical spelling.
 
     The vocabulary is counted over all rows, each batch by itself first. Only plain
-    words that a doubtful one can reach at no cost are kept, by a join on the skeleton
-    that both must share; they meet in buckets of it, each with a trie of its own.
+    words that a doubtful one can reach are kept, by a join on the skeleton that both
+    must share: Latin letters that one letter may stand for are one class in it. They
+    meet in buckets of it, each with a trie of its own.
     """
     doubtful = arrow_map(rows, _words_of, "tab string, row_id bigint, word string, skeleton string")
     words = doubtful.select("word", "skeleton").distinct()
     counted = arrow_map(rows.select("text"), _vocabulary, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    reached = counted.join(words.select(F.col("skeleton").alias("word")).distinct(), "word", "left_semi")
+    skeleton = F.translate("word", "".join(map(chr, CLASSES)), "".join(CLASSES.values())).alias("skeleton")
+    reached = counted.select("word", "n", skeleton).join(words.select("skeleton").distinct(), "skeleton", "left_semi")
 
     def bucket(name: str) -> Column:
         return F.pmod(F.crc32(F.col(name).cast("binary")), F.lit(BUCKETS)).cast("int").alias("bucket")
 
     left = words.select("word", bucket("skeleton")).groupBy("bucket")
-    return left.cogroup(reached.select("word", "n", bucket("word")).groupBy("bucket")).applyInPandas(_decide, "word string, form string")
+    return left.cogroup(reached.select("word", "n", bucket("skeleton")).groupBy("bucket")).applyInPandas(_decide, "word string, form string")
 
 
 def look_alikes(rows: DataFrame) -> DataFrame:
