@@ -495,14 +495,46 @@ def test_folded_as_words():
     assert got == [" ".join(leakage.words_of(t)) for t in texts]
 
 
-def test_leaks_in_blocks_and_empty(spark, monkeypatch):
-    items = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(40))) for i in range(8)], "item_id long, text string")
-    docs = items.select((F.col("item_id") + 100).alias("doc_id"), "text")
-    monkeypatch.setattr(leakage, "BLOCK_CHARS", 700)
+def test_many_items_and_empty(spark):
+    items = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(40))) for i in range(300)], "item_id long, text string")
+    docs = items.where("item_id < 8").select((F.col("item_id") + 100).alias("doc_id"), "text")
     assert sorted(rows(leakage.found(docs, items))) == [(i + 100, i) for i in range(8)]
     assert leakage.found(docs.limit(0), items).count() == 0 and leakage.found(docs, items.limit(0)).count() == 0
 
 
+def test_bound_of_short_words(spark):
+    """Words so short that grams of 16 characters prove nothing: shorter grams are taken, the bound is never raised."""
+    r = random.Random(4)
+    words = [r.choice("abcdefghijk") for _ in range(45)]
+    assert leakage.bound(words, 16, 30, 0.1) < 1 <= leakage.bound(words, 8, 30, 0.1)
+    part = words[5:37]
+    for i in (7, 15, 23):
+        part[i] = "z"
+    docs = spark.createDataFrame([(1, "x y " + " ".join(part) + " x"), (2, " ".join(r.choice("abcdefghijk") for _ in range(60)))], "doc_id long, text string")
+    assert rows(leakage.found(docs, spark.createDataFrame([(9, " ".join(words))], "item_id long, text string"))) == [(1, 9)]
+
+
+def test_dense_against_brute_force():
+    r = random.Random(6)
+    for _ in range(50):
+        at = np.array(sorted(r.sample(range(100), 30)))
+        owner, width, least = at // 37, r.randint(1, 20), r.randint(1, 6)
+        want = [any(a <= x < a + width and o == w and sum(a <= y < a + width and v == o for y, v in zip(at, owner, strict=True)) >= least for a, w in zip(at, owner, strict=True)) for x, o in zip(at, owner, strict=True)]
+        assert leakage.dense(at, owner, width, least).tolist() == want
+
+
+def test_documents_are_read_twice_whatever_the_items(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"một văn bản số {i}") for i in range(20)], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    reads = set()
+    for n in (5, 500):
+        items = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(40))) for i in range(n)], "item_id long, text string")
+        plan = leakage.found(docs, items)._jdf.queryExecution().optimizedPlan().toString()
+        reads.add(plan.count("Relation [doc_id"))
+    assert reads == {2}
+
+
 # --- 8 -------------------------------------------------------------------------------------------
 
 

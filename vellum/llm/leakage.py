@@ -3,14 +3,16 @@
 Q-gram lemma filtering. Items and documents are reduced to base letters and digits
 with one space between words. Every q-gram that a document shares with an item is a
 hit on a diagonal (its place in the document less its place in the item); a passage of
-L characters with e words exchanged keeps L - q + 1 - e * (q + word length) hits at
+L characters with e words exchanged keeps L - q + 1 - e * (q - 1 + word length) hits at
 least, all within a band of diagonals as wide as exchanges can shift them. Hits are
 counted in bands that overlap by half; a band that reaches the bound is a region, and
 regions are verified by banded alignment of the words.
 
-The items are the stated query set. They are taken in blocks of a bounded number of
-characters, each block an index that travels with the function; documents are never
-shuffled and only pairs that hold a passage leave a task.
+The documents are read once to count the hits of each pair, and once more for the pairs
+whose hits on all diagonals together reach the bound, however many items there are. A
+bit table of the items' grams, of a bounded size, goes to the tasks; grams of a document
+that it knows, and that stand closely enough for any bound to be met, are joined with
+the items' grams by their hash, and the hits of a pair are counted where they arise.
 """
 
 from __future__ import annotations
@@ -19,25 +21,24 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from math import ceil
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vellum.llm.shapes import IGNORABLE, latin_shape
 from vellum.functions.text import strip_accents
+from vellum.llm.common import arrow_map
+from vellum.llm.shapes import IGNORABLE, latin_shape
+from vellum.session import written
 
-Q = 16
+#: Lengths of q-grams; the first is taken with which the lemma has a bound of 1 at least for every item.
+QS = (20, 16, 12, 8, 5)
 #: Diagonals of a band in characters; bands begin every half of that.
 BAND = 64
-#: Characters of items in one block.
-BLOCK_CHARS = 1_000_000
+#: Bits of the table of the items' grams: 2 to this power, as the number of grams needs, within these limits (2 MB at most).
+BITS = (16, 24)
 _WORD = re.compile(r"[a-z0-9]+")
-_FILTER_BITS = 22
-#: Pairs of texts and items that are counted in one array.
-PAIRS = 4_000_000
 
 
 def words_of(text: str) -> list[str]:
@@ -78,112 +79,134 @@ def folded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return out, np.concatenate([[0], np.flatnonzero(b == _END) + 1])
 
 
-def _grams(data: np.ndarray) -> np.ndarray:
+def _grams(data: np.ndarray, q: int) -> np.ndarray:
     """A 64-bit hash of every q-gram of a byte array."""
-    n = len(data) - Q + 1
+    n = len(data) - q + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     out = np.zeros(n, np.uint64)
-    for k in range(Q):
+    for k in range(q):
         out *= np.uint64(0x9E3779B97F4A7C15)
         out += data[k : k + n]
         out ^= out >> np.uint64(29)
     return out
 
 
-class Index:
-    """Q-grams of a block of items with the places where they stand."""
-
-    def __init__(self, items: list[tuple[int, str]], least: int, exchanged: float = 0.1):
-        self.least = least
-        self.items, bounds = [], []
-        wrong = int(least * exchanged)
-        hashes, owner, place = [], [], []
-        for key, text in items:
-            words = words_of(text or "")
-            if len(words) < least:
-                continue
-            data = np.frombuffer(" ".join(words).encode(), np.uint8)
-            g = _grams(data)
-            hashes.append(g)
-            owner.append(np.full(len(g), len(self.items), np.int64))
-            place.append(np.arange(len(g), dtype=np.int64))
-            ends = np.cumsum([0] + [len(w) + 1 for w in words])
-            self.items.append((key, words, ends[:-1]))
-            # the shortest stretch of `least` words, less the grams that the longest words exchanged would take
-            shortest = int((ends[least:] - ends[:-least]).min()) - 1
-            lost = sum(sorted((len(w) for w in words), reverse=True)[:wrong]) + wrong * (Q - 1)
-            bounds.append(max(8, shortest - Q + 1 - lost))
-        self.bounds = np.array(bounds, np.int64)
-        empty = np.zeros(0, np.int64)
-        h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        order = np.argsort(h, kind="stable")
-        self.hashes, first = np.unique(h[order], return_index=True)
-        self.first = np.append(first, len(h))
-        self.owner = (np.concatenate(owner) if owner else empty)[order]
-        self.place = (np.concatenate(place) if place else empty)[order]
-        self.filter = np.zeros(1 << _FILTER_BITS, bool)
-        self.filter[(self.hashes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-
-    def hits(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place in text, item, place in item) of every shared q-gram."""
-        g = _grams(text)
-        at = np.flatnonzero(self.filter[(g >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-        k = np.searchsorted(self.hashes, g[at])
-        ok = (k < len(self.hashes)) & (self.hashes[np.minimum(k, len(self.hashes) - 1)] == g[at]) if len(self.hashes) else np.zeros(0, bool)
-        at, k = at[ok] if len(self.hashes) else at[:0], k[ok] if len(self.hashes) else k[:0]
-        n = self.first[k + 1] - self.first[k]
-        where = np.repeat(self.first[k] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(k) else np.zeros(0, np.int64)
-        return np.repeat(at, n), self.owner[where], self.place[where]
-
-    def passages(self, texts: list[str]) -> list[tuple[int, int]]:
-        """(place in the list, key of an item) of every text that holds a passage of an item.
-
-        All texts are one array, so that grams and bands are counted at once; grams
-        that reach over the end of a text are no hits.
-        """
-        if not self.items:
-            return []
-        data, begins = folded(texts)
-        at, item, place = self.hits(data)
-        doc = np.searchsorted(begins, at, "right") - 1
-        inside = at + Q < begins[doc + 1]
-        at, item, place, doc = at[inside], item[inside], place[inside], doc[inside]
-        # what all diagonals of a text and an item together cannot reach, a band of them cannot
-        pair = doc * len(self.items) + item
-        if len(texts) * len(self.items) <= PAIRS:
-            inside = (np.bincount(pair, minlength=len(texts) * len(self.items)) >= np.tile(self.bounds, len(texts)))[pair]
-            at, item, place, doc, pair = at[inside], item[inside], place[inside], doc[inside], pair[inside]
-        if not len(at):
-            return []
-        half = BAND // 2
-        longest = max(int(starts[-1]) + len(words[-1]) for _, words, starts in self.items)
-        band = (at - begins[doc] - place + longest) // half
-        wide = int(band.max()) + 2
-        group = pair * wide + band
-        # each hit lies in the band that begins at its half and in the one before
-        keys = np.concatenate([group + 1, group])
-        distinct, inverse, count = np.unique(keys, return_inverse=True, return_counts=True)
-        owner = distinct // wide
-        enough = np.flatnonzero(count >= self.bounds[owner % len(self.items)])
-        if not len(enough):
-            return []
-        order = np.argsort(inverse, kind="stable")
-        ends = np.cumsum(count)
-        found: dict[tuple[int, int], None] = {}
-        for c in enough:
-            d, who = divmod(int(owner[c]), len(self.items))
-            if (d, who) in found:
-                continue
-            mine = order[ends[c] - count[c] : ends[c]] % len(at)
-            _, own, own_starts = self.items[who]
-            words = data[begins[d] : begins[d + 1] - 1].tobytes().decode().split(" ")
-            starts = np.cumsum([0] + [len(w) + 1 for w in words[:-1]])
-            a = np.searchsorted(own_starts, place[mine], "right") - 1
-            b = np.searchsorted(starts, at[mine] - begins[d], "right") - 1
-            if aligned(own, words, int(np.median(b - a)), self.least):
-                found[d, who] = None
-        return [(d, self.items[i][0]) for d, i in found]
+def bound(words: list[str], q: int, least: int, exchanged: float) -> int:
+    """Hits that any passage of `least` words keeps, so many of them exchanged: the shortest stretch less the grams that the longest words would take."""
+    ends = np.cumsum([0] + [len(w) + 1 for w in words])
+    shortest = int((ends[least:] - ends[:-least]).min()) - 1
+    wrong = int(least * exchanged)
+    return shortest - q + 1 - sum(sorted((len(w) for w in words), reverse=True)[:wrong]) - wrong * (q - 1)
+
+
+def _prepared(items: DataFrame, least: int, exchanged: float) -> DataFrame:
+    """(item_id, words, bounds, stretch): items long enough, the bound for each of QS, and the longest stretch of `least` words."""
+
+    def prepare(cols: dict[str, list]) -> dict[str, list]:
+        out: dict[str, list] = {"item_id": [], "words": [], "bounds": [], "stretch": []}
+        for key, text in zip(cols["item_id"], cols["text"], strict=True):
+            words = words_of(text)
+            if len(words) >= least:
+                ends = np.cumsum([0] + [len(w) + 1 for w in words])
+                row = key, " ".join(words), [bound(words, q, least, exchanged) for q in QS], int((ends[least:] - ends[:-least]).max())
+                for values, v in zip(out.values(), row, strict=True):
+                    values.append(v)
+        return out
+
+    return arrow_map(items, prepare, "item_id bigint, words string, bounds array<int>, stretch int")
+
+
+def _item_grams(items: DataFrame, q: int) -> DataFrame:
+    def cut(cols: dict[str, list]) -> dict[str, list]:
+        grams = [_grams(np.frombuffer(w.encode(), np.uint8), q).view(np.int64) for w in cols["words"]]
+        owner = np.repeat(np.array(cols["item_id"], np.int64), [len(g) for g in grams])
+        return {"gram": np.concatenate(grams), "item_id": owner, "in_item": np.concatenate([np.arange(len(g)) for g in grams])} if grams else {}
+
+    return arrow_map(items.select("item_id", "words"), cut, "gram bigint, item_id bigint, in_item int")
+
+
+def _slots(grams: np.ndarray, bits: int) -> np.ndarray:
+    return (grams.view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _bit_table(grams: DataFrame, bits: int) -> np.ndarray:
+    """The slots of all grams as packed bits; each task gives out those of its own grams once, and 2 ** bits of them come to the driver at most."""
+
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(1 << bits, bool)
+        for batch in batches:
+            seen[_slots(batch.column("gram").to_numpy(), bits)] = True
+        found = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(found // 32768 + 1), pa.array(found % 32768)], names=["bucket", "bit"])
+
+    rows = grams.select("gram").mapInArrow(slots, "bucket bigint, bit bigint").groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    out = np.zeros((1 << bits) // 8, np.uint8)
+    for r in rows.collect():
+        part = np.frombuffer(bytes(r["bits"]), np.uint8)
+        begin = (r["bucket"] - 1) * 4096
+        out[begin : begin + 4096] = part[: len(out) - begin]
+    return out
+
+
+def dense(at: np.ndarray, owner: np.ndarray, width: int, least: int) -> np.ndarray:
+    """Which of the places (in order) lie in a window of so many characters that holds `least` of them, all with one owner."""
+    last = np.minimum(np.searchsorted(at, at + width, "left"), np.searchsorted(owner, owner, "right"))
+    full = np.flatnonzero(last - np.arange(len(at)) >= least)
+    depth = np.zeros(len(at) + 1, np.int64)
+    np.add.at(depth, full, 1)
+    np.add.at(depth, last[full], -1)
+    return np.cumsum(depth)[:-1] > 0
+
+
+_HITS = pa.schema([("gram", pa.int64()), ("doc_id", pa.int64()), ("in_doc", pa.int64())])
+
+
+def _document_grams(texts: DataFrame, q: int, bits: int, table: np.ndarray, width: int, least: int) -> DataFrame:
+    """(gram, doc_id, in_doc): grams of documents that an item may have, where enough of them stand together."""
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, texts = batch.column("doc_id").to_numpy(), batch.column("text").to_pylist()
+            for a, b in pieces(texts):
+                data, begins = folded(texts[a:b])
+                g = _grams(data, q)
+                slot = _slots(g, bits)
+                at = np.flatnonzero((table[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
+                doc = np.searchsorted(begins, at, "right") - 1
+                # grams over the end of a text are none of it
+                inside = at + q < begins[doc + 1]
+                at, doc = at[inside], doc[inside]
+                kept = dense(at, doc, width, least)
+                at, doc = at[kept], doc[kept]
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([pa.array(g[at].view(np.int64)), pa.array(keys[a + doc]), pa.array(at - begins[doc])], schema=_HITS)
+
+    return texts.mapInArrow(search, "gram bigint, doc_id bigint, in_doc bigint")
+
+
+def _begins(words: list[str]) -> np.ndarray:
+    return np.cumsum([0] + [len(w) + 1 for w in words])[:-1]
+
+
+def regions(grams: np.ndarray, order: np.ndarray, begins: np.ndarray, own: list[str], q: int, least: int) -> list[int]:
+    """The shifts in words of the bands of diagonals that hold hits enough, those with most hits first.
+
+    grams, order, begins: the grams of a document, their sorted order, and where its words begin.
+    """
+    mine = _grams(np.frombuffer(" ".join(own).encode(), np.uint8), q)
+    ranked = grams[order]
+    first, last = np.searchsorted(ranked, mine, "left"), np.searchsorted(ranked, mine, "right")
+    n = last - first
+    place = np.repeat(np.arange(len(mine)), n)
+    at = order[np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())] if len(place) else place
+    half = (at - place + len(mine)) // (BAND // 2)
+    # each hit lies in the band that begins at its half and in the one before
+    bands, inverse, count = np.unique(np.concatenate([half + 1, half]), return_inverse=True, return_counts=True)
+    shift = np.searchsorted(begins, at, "right") - np.searchsorted(_begins(own), place, "right")
+    full = np.flatnonzero(count >= least)
+    twice = np.concatenate([shift, shift])
+    return list(dict.fromkeys(int(np.median(twice[inverse == b])) for b in full[np.argsort(-count[full], kind="stable")]))
 
 
 def aligned(item: list[str], text: list[str], shift: int, least: int, width: int = 12, tolerance: float = 0.125) -> bool:
@@ -253,28 +276,36 @@ def leaked_passages(documents: DataFrame, items: DataFrame, least: int = 30, exc
     without rows give none. Whole texts are read, of any length.
     """
     asked = items.select(F.col("item_id").cast("bigint").alias("item_id"), F.col("text").alias("text")).where("item_id is not null and text is not null")
-    chars = asked.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
-    blocks = max(1, ceil(chars / BLOCK_CHARS))
+    asked = written(_prepared(asked, least, exchanged))
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").alias("text")).where("doc_id is not null and text is not null")
-    out = None
-    for b in range(blocks):
-        block = [(r["item_id"], r["text"]) for r in asked.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).collect()]
-        index = Index(sorted(block), least, exchanged)
-
-        def search(batches: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                docs, found = [], []
-                keys, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-                for a, b in pieces(texts):
-                    hits = index.passages(texts[a:b])
-                    docs += [keys[a + i] for i, _ in hits]
-                    found += [item for _, item in hits]
-                if docs:
-                    yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(found, pa.int64())], names=["doc_id", "item_id"])
-
-        part = texts.mapInArrow(search, "doc_id bigint, item_id bigint")
-        out = part if out is None else out.unionByName(part)
-    return out.distinct()
+    told = asked.agg(*[F.min(F.col("bounds")[i]).alias(f"b{i}") for i in range(len(QS))], F.max("stretch").alias("stretch"), F.max(F.length("words")).alias("longest"), F.sum(F.length("words")).alias("chars")).first()
+    if told["stretch"] is None:
+        return texts.join(asked, texts["doc_id"] == asked["item_id"]).select("doc_id", "item_id").where("false")
+    use = next((i for i in range(len(QS)) if told[f"b{i}"] >= 1), len(QS) - 1)
+    q, lowest = QS[use], max(1, told[f"b{use}"])
+    # bands are counted in the next shorter grams: fewer hits are lost to an exchange
+    fine = min(use + 1, len(QS) - 1)
+    bits = min(BITS[1], max(BITS[0], int(told["chars"]).bit_length() + 6))
+    grams = _item_grams(asked, q)
+    hits = _document_grams(texts, q, bits, _bit_table(grams, bits), told["stretch"] + BAND, lowest).join(grams, "gram")
+    counted = hits.groupBy("doc_id", "item_id").agg(F.count("*").alias("n")).join(asked, "item_id").where(F.col("n") >= F.greatest(F.lit(1), F.col("bounds")[use]))
+    asks = counted.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "words", F.col("bounds")[fine].alias("bound"))).alias("asked"))
+
+    def verify(cols: dict[str, list]) -> dict[str, list]:
+        out: dict[str, list] = {"doc_id": [], "item_id": []}
+        for key, text, asked in zip(cols["doc_id"], cols["text"], cols["asked"], strict=True):
+            words = words_of(text)
+            grams = _grams(np.frombuffer(" ".join(words).encode(), np.uint8), QS[fine])
+            order = np.argsort(grams, kind="stable")
+            begins = _begins(words)
+            for x in asked:
+                own = x["words"].split(" ")
+                if any(aligned(own, words, shift, least) for shift in regions(grams, order, begins, own, QS[fine], max(1, x["bound"]))):
+                    out["doc_id"].append(key)
+                    out["item_id"].append(x["item_id"])
+        return out
+
+    return arrow_map(texts.join(asks, "doc_id"), verify, "doc_id bigint, item_id bigint").distinct()
 
 
 def found(documents: DataFrame, items: DataFrame) -> DataFrame:
