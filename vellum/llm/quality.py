@@ -344,11 +344,12 @@ _KEY = "doc string, page int, piece int"
 def _bordered(pages: DataFrame, model: Model) -> DataFrame:
     """pages with (entry, leave): the labels at the borders of the pieces of pages that have several; null elsewhere.
 
-    A page is one row here with 16 numbers for each of its pieces.
+    A page is one row here with 16 numbers for each of its pieces. Both tables that meet
+    the pages are written first, so that their size is known when the joins are planned.
     """
     place = F.struct(F.col("page").alias("page"))
     several = pages.groupBy("doc", "page").agg(F.count("*").alias("_n"), F.min("piece").alias("_first")).where("_n > 1")
-    several = several.select(F.col("doc").alias("_doc"), F.col("page").alias("_page"), "_first")
+    several = written(several.select(F.col("doc").alias("_doc"), F.col("page").alias("_page"), "_first"))
     parts = pages.join(several, (F.col("doc") == F.col("_doc")) & F.col("page").eqNullSafe(F.col("_page"))).withColumn("begin", F.col("piece") == F.col("_first"))
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,7 +369,6 @@ def _bordered(pages: DataFrame, model: Model) -> DataFrame:
 
     crossed = parts.select("doc", "page", "piece", "begin", "lines").mapInArrow(cross, f"{_KEY}, best array<double>")
     ordered = crossed.groupBy("doc", "page").agg(F.sort_array(F.collect_list(F.struct("piece", "best"))).alias("parts"))
-    # written, so that its size is known when the join with the pages is planned
     found = written(arrow_map(ordered, solve, f"{_KEY}, entry int, leave int")).withColumn("_at", place).drop("page")
     return pages.withColumn("_at", place).join(found, ["doc", "_at", "piece"], "left").select(*pages.columns, "entry", "leave")
 
