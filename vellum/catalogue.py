@@ -40,7 +40,19 @@ def oracle_sql() -> dict[str, str]:
 
 def _t(spark: SparkSession, d: str, name: str, key: str | None = None) -> DataFrame:
     df = spark.read.parquet(f"{d}/{name}.parquet")
-    return df.dropDuplicates([key]) if key else df
+    return delivered_once(df, key) if key else df
+
+
+def delivered_once(df: DataFrame, key: str, by: str = "doc") -> DataFrame:
+    """Every row id of a document once, the smallest row in the order of the columns, whatever the partitioning.
+
+    Rows are brought together by document, which what follows needs anyway, not by id.
+    A row id stands in one document; null ids are taken as different rows.
+    """
+    rest = [c for c in df.columns if c not in (key, by)]
+    apart = F.when(F.col(key).isNull(), F.struct(*rest))
+    rows = df.repartition(by).groupBy(by, key, apart.alias("_apart")).agg(F.min(F.struct(*rest)).alias("_row"))
+    return rows.select(key, by, *[F.col(f"_row.`{c}`").alias(c) for c in rest]).select(*df.columns)
 
 
 def _lines(spark: SparkSession, d: str) -> DataFrame:
@@ -78,17 +90,24 @@ SIGNATURE = "(" + " OR ".join([*(f"starts_with({_LOW}, '{s}')" for s in rules.SI
 COVER = "(" + " OR ".join([*(f"contains({_LOW}, '{s}')" for s in rules.COVER_PARTS), *(HAS(_LOW, r) for r in rules.COVER_LINES)]) + ")"
 MARGIN = f"coalesce(top < height * {rules.TOP} OR top > height * {rules.BOTTOM}, false)"
 
+BOX = "bbox[1] AS x0, bbox[2] AS y0, bbox[3] AS x1, bbox[4] AS y1"
+
+
+def _boxed(df: DataFrame) -> DataFrame:
+    return df.select("*", *[F.get("bbox", i).alias(n) for i, n in enumerate(("x0", "y0", "x1", "y1"))]).drop("bbox")
+
+
 DOC_LINES = "l AS (SELECT * FROM doc_lines QUALIFY row_number() OVER (PARTITION BY line_id ORDER BY doc) = 1)"
 UNITS = "u AS (SELECT * FROM units QUALIFY row_number() OVER (PARTITION BY unit_id ORDER BY doc) = 1)"
 OCR = "o AS (SELECT * FROM ocr_lines QUALIFY row_number() OVER (PARTITION BY ocr_line_id ORDER BY doc) = 1)"
 SIDECARS = "s AS (SELECT * FROM sidecars QUALIFY row_number() OVER (PARTITION BY doc ORDER BY ingested_at) = 1)"
-PLACED = f"""{DOC_LINES}, h AS (SELECT doc, page, max(height) AS height FROM doc_pages GROUP BY doc, page),
+PLACED = lambda l: f"""{l}, h AS (SELECT doc, page, max(height) AS height FROM doc_pages GROUP BY doc, page),
 p AS (SELECT l.*, h.height, l.bbox[2] AS top FROM l LEFT JOIN h USING (doc, page))"""
-RUNNING = f"""{PLACED}, n AS (SELECT doc, count(DISTINCT page) AS pages FROM doc_pages GROUP BY doc),
+RUNNING = lambda l: f"""{PLACED(l)}, n AS (SELECT doc, count(DISTINCT page) AS pages FROM doc_pages GROUP BY doc),
 k AS (SELECT doc, page, {MASKED('text')} AS key FROM p WHERE text IS NOT NULL AND {MARGIN} AND NOT {STRUCTURAL}),
 r AS (SELECT doc, key, count(DISTINCT page) AS n_pages, any_value(pages) AS pages FROM k JOIN n USING (doc) WHERE key <> '' GROUP BY doc, key
   HAVING count(DISTINCT page) >= greatest(2, (any_value(pages) + 1) // 2))"""
-KEPT = f"""{RUNNING}, m AS (SELECT p.*, {STRUCTURAL} AS structural, {MASKED('text')} AS key FROM p WHERE text IS NOT NULL),
+KEPT = lambda l: f"""{RUNNING(l)}, m AS (SELECT p.*, {STRUCTURAL} AS structural, {MASKED('text')} AS key FROM p WHERE text IS NOT NULL),
 w AS (SELECT *, max(structural::INT) OVER (PARTITION BY doc ORDER BY page, block_no, line_no, line_id ROWS UNBOUNDED PRECEDING) = 1 AS seen FROM m),
 kept AS (SELECT w.* FROM w LEFT JOIN r USING (doc, key) WHERE structural OR NOT ({SIGNATURE} OR (page = 1 AND NOT seen AND {COVER}) OR ({MARGIN} AND r.key IS NOT NULL)))"""
 
@@ -109,35 +128,40 @@ i AS (SELECT *, count(kind) OVER (PARTITION BY doc {order} ROWS UNBOUNDED PRECED
 legal AS (SELECT doc, unit_no, first(kind {order}) AS type,
   first(CASE kind WHEN 'heading' THEN ch WHEN 'dieu' THEN 'Điều ' || d WHEN 'khoan' THEN 'Khoản ' || k2 ELSE '' END {order}) AS label,
   first(CASE kind WHEN 'heading' THEN coalesce(earlier, '') WHEN 'khoan' THEN concat_ws('|', chapter, 'Điều ' || article) ELSE coalesce(chapter, '') END {order}) AS path,
-  string_agg(t, chr(10) {order}) AS text, first(page {order}) AS page FROM i GROUP BY doc, unit_no)"""
+  string_agg(t, chr(10) {order}) AS text, first(page {order}) AS page, first(bbox {order}) AS bbox FROM i GROUP BY doc, unit_no)"""
+
+
+def _document_units(lines: str) -> str:
+    """CTEs up to `du`, the units of all documents out of a CTE `l` of lines."""
+    return f"""{KEPT(lines)}, kinds AS (SELECT doc, bool_or({HAS(STRIP('text'), rules.ARTICLE)}) AS legal FROM kept GROUP BY doc),
+src AS (SELECT kept.* FROM kept JOIN kinds USING (doc) WHERE legal), {_legal('src')},
+q AS (SELECT doc, page, block_no, string_agg(text, chr(10) ORDER BY line_no, line_id) AS text, CASE WHEN count(bbox) > 0 THEN [min(bbox[1]), min(bbox[2]), max(bbox[3]), max(bbox[4])] END AS bbox FROM kept JOIN kinds USING (doc) WHERE NOT legal GROUP BY doc, page, block_no),
+du AS (SELECT doc, unit_no, type, label, path, text, page, bbox FROM legal UNION ALL
+SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY page, block_no), 'paragraph', '', '', text, page, bbox FROM q)"""
 
 
 # --- lines and structure ---------------------------------------------------------------------
 
 
-@query(f"""WITH {KEPT}, kinds AS (SELECT doc, bool_or({HAS(STRIP('text'), rules.ARTICLE)}) AS legal FROM kept GROUP BY doc),
-src AS (SELECT kept.* FROM kept JOIN kinds USING (doc) WHERE legal), {_legal('src')},
-q AS (SELECT doc, page, block_no, string_agg(text, chr(10) ORDER BY line_no, line_id) AS text FROM kept JOIN kinds USING (doc) WHERE NOT legal GROUP BY ALL)
-SELECT doc, unit_no, type, label, path, text, page FROM legal UNION ALL
-SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY page, block_no), 'paragraph', '', '', text, page FROM q""")
+@query(f"WITH {_document_units(DOC_LINES)} SELECT doc, unit_no, type, label, path, text, page, {BOX} FROM du")
 def q_document_units(spark, d):
     units = structure.document_units(_lines(spark, d), _pages(spark, d))
-    return units.withColumn("path", F.array_join("path", "|"))
+    return _boxed(units.withColumn("path", F.array_join("path", "|")))
 
 
-@query(f"WITH {RUNNING} SELECT doc, key, n_pages FROM r")
+@query(f"WITH {RUNNING(DOC_LINES)} SELECT doc, key, n_pages FROM r")
 def q_running_lines(spark, d):
     return lines.running_lines(_lines(spark, d), _pages(spark, d))
 
 
-@query(f"WITH {KEPT} SELECT line_id FROM kept")
+@query(f"WITH {KEPT(DOC_LINES)} SELECT line_id FROM kept")
 def q_kept_lines(spark, d):
     return lines.kept_lines(_lines(spark, d), _pages(spark, d)).select("line_id")
 
 
-@query(f"WITH {DOC_LINES}, src AS (SELECT * FROM l), {_legal('src')} SELECT doc, unit_no, type, label, path, text, page FROM legal")
+@query(f"WITH {DOC_LINES}, src AS (SELECT * FROM l), {_legal('src')} SELECT doc, unit_no, type, label, path, text, page, {BOX} FROM legal")
 def q_legal_units(spark, d):
-    return structure.legal_units(_lines(spark, d)).drop("bbox").withColumn("path", F.array_join("path", "|"))
+    return _boxed(structure.legal_units(_lines(spark, d)).withColumn("path", F.array_join("path", "|")))
 
 
 @query(f"WITH {DOC_LINES} SELECT doc, CASE WHEN bool_or({HAS(STRIP('text'), rules.ARTICLE)}) THEN 'legal' ELSE 'prose' END AS kind FROM l GROUP BY doc")
@@ -240,9 +264,9 @@ def q_repaired_units(spark, d):
 # --- recognition -----------------------------------------------------------------------------
 
 WORDS = lambda c: rf"regexp_extract_all(lower({c}), '([\p{{L}}\p{{Nl}}\p{{No}}]+)', 1)"
-LEXICON = f"""{UNITS}, lw AS (SELECT doc, unnest({WORDS('text')}) AS word FROM u WHERE NOT coalesce(ocr, false) AND NOT starts_with(text, '{rules.MARKER}')),
+LEXICON = f"""{UNITS}, lw AS (SELECT doc, unnest({WORDS('nfc_normalize(text)')}) AS word FROM u WHERE NOT coalesce(ocr, false) AND NOT starts_with(text, '{rules.MARKER}')),
 lex AS (SELECT word, count(*) AS uses, count(DISTINCT doc) AS docs FROM lw WHERE length(word) <= {rules.WORD_LETTERS} GROUP BY word HAVING count(*) >= {rules.WORD_USES} AND count(DISTINCT doc) >= {rules.WORD_DOCS})"""
-VERDICTS = f"""{LEXICON}, {OCR}, nb AS (SELECT *, translate(text, 'Ðð', 'Đđ') AS t FROM o WHERE {STRIP('text')} <> ''),
+VERDICTS = f"""{LEXICON}, {OCR}, nb AS (SELECT *, translate(nfc_normalize(text), 'Ðð', 'Đđ') AS t FROM o WHERE {STRIP('text')} <> ''),
 st AS (SELECT doc, page, sum(length(regexp_replace(t, '{WS}', '', 'g'))) AS chars, avg(conf) AS conf FROM nb GROUP BY doc, page),
 tw AS (SELECT doc, page, unnest({WORDS('t')}) AS word FROM nb),
 tk AS (SELECT doc, page, count(*) AS words, count(*) FILTER (lex.word IS NULL) AS unknown FROM tw LEFT JOIN lex USING (word) GROUP BY doc, page),
@@ -256,10 +280,10 @@ def q_lexicon(spark, d):
     return recognition.lexicon(_units(spark, d))
 
 
-@query(f"WITH {VERDICTS} SELECT doc, page, chars, words, unknown, reason FROM vd")
+@query(f"WITH {VERDICTS} SELECT doc, page, chars, round(conf, 6) AS conf, words, unknown, reason FROM vd")
 def q_page_verdicts(spark, d):
-    # the mean confidence decides but is not compared: its last digit depends on the order of a sum
-    return recognition.page_verdicts(_ocr(spark, d), recognition.lexicon(_units(spark, d))).drop("conf")
+    # the last digits of a mean depend on the order of its sum
+    return recognition.page_verdicts(_ocr(spark, d), recognition.lexicon(_units(spark, d))).withColumn("conf", F.round("conf", 6))
 
 
 @query(f"""WITH {OCR}, x AS (SELECT doc, page, median((bbox[4] - bbox[2]) * 200 / 72) FILTER (length(text) > 15) AS pixels FROM o GROUP BY doc, page)
@@ -268,21 +292,24 @@ def q_line_heights(spark, d):
     return recognition.line_heights(_ocr(spark, d)).withColumn("pixels", F.round("pixels", 4))
 
 
-@query("""SELECT l_orderkey, string_agg(l_returnflag || l_linenumber, ' ' ORDER BY l_linenumber, l_returnflag || l_linenumber) AS text, round(min(l_quantity * 0.36), 4) AS x0, round(min(l_linenumber * 0.36::DOUBLE), 4) AS y0,
-round(max((l_quantity + 10) * 0.36), 4) AS x1, round(max((l_linenumber + 20) * 0.36::DOUBLE), 4) AS y1, round(avg(l_tax * 100), 4) AS conf FROM lineitem GROUP BY l_orderkey""")
+@query("""SELECT l_orderkey, string_agg(l_returnflag || l_linenumber, ' ' ORDER BY l_linenumber, l_returnflag || l_linenumber) AS text, round(min(l_quantity * 0.36), 2) AS x0, round(min(l_linenumber * 0.36::DOUBLE), 2) AS y0,
+round(max((l_quantity + 10) * 0.36), 2) AS x1, round(max((l_linenumber + 20) * 0.36::DOUBLE), 2) AS y1, round(avg(l_tax * 100), 2) AS conf FROM lineitem GROUP BY l_orderkey""")
 def q_lines_of_words(spark, d):
     words = _t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.concat("l_returnflag", F.col("l_linenumber").cast("string")).alias("text"), F.col("l_quantity").alias("left"), F.col("l_linenumber").alias("top"), F.lit(10).alias("width"), F.lit(20).alias("height"), (F.col("l_tax") * 100).alias("conf"))
-    out = recognition.lines_of_words(words, ("l_orderkey",), "l_linenumber")
-    return out.select("l_orderkey", "text", *[F.round(c, 4).alias(c) for c in ("x0", "y0", "x1", "y1", "conf")])
+    return recognition.lines_of_words(words, ("l_orderkey",), "l_linenumber")
+
+
+_SCAN_LINES = f"""{VERDICTS}, l AS (SELECT doc, page, min(line_no) OVER (PARTITION BY doc, page, block) AS block_no, line_no, ocr_line_id AS line_id, t AS text, bbox FROM nb JOIN vd USING (doc, page) WHERE reason = '')"""
 
 
-@query(f"""WITH {VERDICTS}, gd AS (SELECT nb.* FROM nb JOIN vd USING (doc, page) WHERE reason = ''),
-bl AS (SELECT doc, page, 0 AS kind, min(line_no) AS seq, string_agg(t, chr(10) ORDER BY line_no, ocr_line_id) AS text, true AS ocr FROM gd GROUP BY doc, page, block),
-mk AS (SELECT DISTINCT doc, page, 1 AS kind, 0 AS seq, '{rules.MARKER} (trang ' || page || ')' AS text, NULL::BOOLEAN AS ocr FROM doc_pages WHERE doc IN (SELECT doc FROM o) AND (doc, page) NOT IN (SELECT (doc, page) FROM bl)),
-al AS (SELECT * FROM bl UNION ALL SELECT * FROM mk)
-SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY page, kind, seq) AS unit_no, page, text, ocr FROM al""")
+@query(f"""WITH {_document_units(_SCAN_LINES)},
+mk AS (SELECT doc, page, 'paragraph' AS type, 'Trang ' || page AS label, '' AS path, '{rules.MARKER} (trang ' || page || ')' AS text, CASE WHEN max(width) IS NOT NULL AND max(height) IS NOT NULL THEN [0.0::DOUBLE, 0.0::DOUBLE, max(width), max(height)] END AS bbox
+  FROM doc_pages WHERE doc IN (SELECT doc FROM o) AND (doc, page) NOT IN (SELECT (doc, page) FROM vd WHERE reason = '') GROUP BY doc, page),
+al AS (SELECT doc, page, 0 AS ord, unit_no AS seq, type, label, path, text, bbox, true AS ocr FROM du UNION ALL SELECT doc, page, 1, 0, type, label, path, text, bbox, NULL::BOOLEAN FROM mk)
+SELECT doc, CASE WHEN bool_or(type = 'dieu') OVER (PARTITION BY doc) THEN 'legal' ELSE 'prose' END AS kind, row_number() OVER (PARTITION BY doc ORDER BY page, ord, seq) AS unit_no, type, label, path, text, page, {BOX}, ocr FROM al""")
 def q_scan_units(spark, d):
-    return recognition.scan_units(_ocr(spark, d), recognition.lexicon(_units(spark, d)), _pages(spark, d))
+    units = recognition.scan_units(_ocr(spark, d), recognition.lexicon(_units(spark, d)), _pages(spark, d))
+    return _boxed(units.withColumn("path", F.array_join("path", "|")))
 
 
 @query("SELECT doc, page, ocr_line_id, ocr_at FROM ocr_lines QUALIFY row_number() OVER (PARTITION BY doc, page ORDER BY ocr_at DESC, ocr_line_id DESC) = 1")

@@ -64,9 +64,13 @@ def _composed(texts: pa.Array) -> pa.Array:
     return pa.array([t if t is None or t.isascii() else unicodedata.normalize("NFC", t) for t in texts.to_pylist()], pa.string())
 
 
+#: A character that composing may change: none of the blocks whose characters all stay as they are.
+UNSTABLE = r"[^\x{0}-\x{2FF}\x{1E00}-\x{1EFF}\x{2002}-\x{20CF}\x{2190}-\x{2328}\x{2500}-\x{27FF}]"
+
+
 def nfc(c: Column) -> Column:
-    """Composed letters; the one function on text that Spark has no built-in for."""
-    return F.arrow_udf(_composed, StringType())(c)
+    """Composed letters; the one function on text that Spark has no built-in for. Only texts that may change go through Python."""
+    return F.coalesce(F.arrow_udf(_composed, StringType())(F.when(c.rlike(UNSTABLE), c)), c)
 
 
 def template(text: str, **values: Column) -> Column:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vellum.functions.columns import solid_length, strip, tokens
+from vellum.functions.columns import nfc, solid_length, strip, tokens
 from vellum.operators import rules
 from vellum.operators.lines import union_box
+from vellum.operators.structure import document_units, page_markers
 from vellum.session import written
 
 
@@ -28,12 +29,13 @@ def words_of(tsv: DataFrame) -> DataFrame:
 
 
 def lines_of_words(words: DataFrame, keys: tuple[str, ...], order: str, dpi: int = rules.COARSE) -> DataFrame:
-    """One row per line: words joined by spaces in their order, the box around them in points, mean confidence."""
+    """One row per line: words joined by spaces in their order, the box around them in points, mean confidence, both to two places."""
     text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(order, "text"))), lambda x: x["text"]), " ").alias("text")
     scale = F.lit(72.0 / dpi)
     box = F.array(F.col("left") * scale, F.col("top") * scale, (F.col("left") + F.col("width")) * scale, (F.col("top") + F.col("height")) * scale)
     placed = words.withColumn("_box", box)
-    return placed.groupBy(*keys).agg(text, *union_box(F.col("_box")), F.avg("conf").alias("conf"))
+    out = placed.groupBy(*keys).agg(text, *union_box(F.col("_box")), F.avg("conf").alias("conf"))
+    return out.select(*keys, "text", *[F.round(c, 2).alias(c) for c in ("x0", "y0", "x1", "y1", "conf")])
 
 
 def line_heights(lines: DataFrame, dpi: int = rules.COARSE) -> DataFrame:
@@ -44,14 +46,14 @@ def line_heights(lines: DataFrame, dpi: int = rules.COARSE) -> DataFrame:
 
 
 def cleaned(c: Column) -> Column:
-    """Look-alike letters that recognisers put for đ."""
-    return F.translate(c, "Ðð", "Đđ")
+    """Composed letters, and đ where recognisers put a letter that looks like it."""
+    return F.translate(nfc(c), "Ðð", "Đđ")
 
 
 def lexicon(units: DataFrame) -> DataFrame:
-    """(word, uses, docs): short words of clean units that are used often enough, in documents enough."""
+    """(word, uses, docs): short words, composed, of clean units that are used often enough, in documents enough."""
     own = units.where(F.col("text").isNotNull() & ~F.coalesce("ocr", F.lit(False)) & ~F.col("text").startswith(rules.MARKER))
-    words = own.select("doc", F.explode(tokens(F.col("text"))).alias("word")).where(F.length("word") <= rules.WORD_LETTERS)
+    words = own.select("doc", F.explode(tokens(nfc(F.col("text")))).alias("word")).where(F.length("word") <= rules.WORD_LETTERS)
     counts = words.groupBy("word", "doc").count().groupBy("word").agg(F.sum("count").alias("uses"), F.count("*").alias("docs"))
     return counts.where((F.col("uses") >= rules.WORD_USES) & (F.col("docs") >= rules.WORD_DOCS))
 
@@ -79,18 +81,27 @@ def page_verdicts(lines: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def scan_units(lines: DataFrame, words: DataFrame, pages: DataFrame) -> DataFrame:
-    """(doc, unit_no, page, text, ocr): text blocks of the pages that pass, a placeholder for each page that does not, in page order, text before placeholders."""
+    """(doc, kind, unit_no, type, label, path, text, page, bbox, ocr): units of recognised documents.
+
+    Lines of pages that pass go through the same cleanup and structure as lines of a
+    text layer, block after block; a page that does not pass keeps its placeholder. Units
+    are in page order, text before placeholders.
+    """
     verdicts = written(page_verdicts(lines, words).select("doc", "page", "reason"))
-    good = lines.join(verdicts.where("reason = ''").select("doc", "page"), ["doc", "page"], "left_semi").where(strip(F.coalesce("text", F.lit(""))) != "")
-    first = F.min("line_no").alias("seq")
-    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("line_no", "ocr_line_id", cleaned(F.col("text")).alias("text")))), lambda x: x["text"]), "\n").alias("text")
-    blocks = good.groupBy("doc", "page", "block").agg(first, text).select("doc", "page", F.lit(0).alias("kind"), "seq", "text", F.lit(True).alias("ocr"))
-    scans = pages.join(lines.select("doc").distinct(), "doc", "left_semi").select("doc", "page").distinct()
-    bare = scans.join(verdicts.where("reason = ''"), ["doc", "page"], "left_anti")
-    marker = F.concat(F.lit(rules.MARKER + " (trang "), F.col("page").cast("string"), F.lit(")"))
-    units = blocks.unionByName(bare.select("doc", "page", F.lit(1).alias("kind"), F.lit(0).alias("seq"), marker.alias("text"), F.lit(None).cast("boolean").alias("ocr")))
-    number = F.row_number().over(Window.partitionBy("doc").orderBy("page", "kind", "seq"))
-    return units.select("doc", number.alias("unit_no"), "page", "text", "ocr")
+    passed = verdicts.where("reason = ''").select("doc", "page")
+    good = lines.where(strip(F.coalesce("text", F.lit(""))) != "").join(passed, ["doc", "page"], "left_semi")
+    block = F.min("line_no").over(Window.partitionBy("doc", "page", "block"))
+    placed = good.select(F.col("ocr_line_id").alias("line_id"), "doc", "page", block.alias("block_no"), "line_no", cleaned(F.col("text")).alias("text"), "bbox")
+    scans = pages.join(lines.select("doc").distinct(), "doc", "left_semi")
+    text = document_units(placed, scans)
+    heads = ["doc", "type", "label", "path", "text", "page", "bbox"]
+    blocks = text.select(*heads, F.col("unit_no").alias("seq"), F.lit(0).alias("order"), F.lit(True).alias("ocr"))
+    bare = page_markers(scans.join(passed, ["doc", "page"], "left_anti"))
+    units = blocks.unionByName(bare.select(*heads, F.lit(0).cast("bigint").alias("seq"), F.lit(1).alias("order"), F.lit(None).cast("boolean").alias("ocr")))
+    doc = Window.partitionBy("doc")
+    legal = F.max(F.col("type") == "dieu").over(doc)
+    number = F.row_number().over(doc.orderBy("page", "order", "seq"))
+    return units.select("doc", F.when(legal, "legal").otherwise("prose").alias("kind"), number.alias("unit_no"), *heads[1:], "ocr")
 
 
 def latest_pages(results: DataFrame, keys: tuple[str, ...] = ("doc", "page"), order: tuple[str, ...] = ("ocr_at",)) -> DataFrame:

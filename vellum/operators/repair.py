@@ -1,21 +1,26 @@
 """Legacy font encodings and uncomposed accents in stored units, repaired or only reported.
 
-The VNI decoder is a native fold over characters: no Python runs for it.
+The VNI decoder writes every character of a text once, batch by batch over Arrow; only
+texts with evidence of VNI, or that composing may change, are sent to it.
 """
 
 from __future__ import annotations
 
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from vellum.functions.columns import nfc, strip, word_count
-from vellum.functions.text import VNI_PAIRS
+from vellum.functions import text as text_functions
+from vellum.functions.columns import UNSTABLE, nfc, strip, word_count
+from vellum.functions.text import VNI_PAIRS  # noqa: F401  the chart, for SQL
 
 #: Letters that only VNI text has, and letters that only Unicode text has.
 VNI_LETTERS = "[öÖøØûÛïÏäÄåÅñÑëËüÜæÆ]"
 UNICODE_LETTERS = "[Ạ-ỹăĂđĐơƠưƯ]"
 EVIDENCE = "[aeiouyAEIOUYôÔöÖ][øûïäåëüØÛÏÄÅËÜ]"
-_SINGLE_FROM, _SINGLE_TO = "ñÑöÖôÔæÆòÒóÓ", "đĐưƯơƠỉỈịỊĩĨ"
 
 
 def has_vni_evidence(c: Column) -> Column:
@@ -31,43 +36,46 @@ def looks_unicode(c: Column) -> Column:
     return c.rlike(UNICODE_LETTERS)
 
 
-def _pairs() -> Column:
-    return F.map_from_arrays(F.array(*map(F.lit, VNI_PAIRS)), F.array(*map(F.lit, VNI_PAIRS.values())))
+_EVIDENCE, _VNI, _UNICODE = map(re.compile, (EVIDENCE, VNI_LETTERS, UNICODE_LETTERS))
+_PIECES = re.compile(r"(\s+)")
 
 
-def decode_vni(c: Column) -> Column:
-    """Every character merged at most once into the one written before it, from left to right."""
-    table = _pairs()
-    start = F.struct(F.lit("").alias("done"), F.lit("").alias("last"))
+def converted(text: str) -> str:
+    """VNI decoded in the widest scope that is all VNI: the text, else a line, else a word."""
+    if not _EVIDENCE.search(text):
+        return text
+    if not _UNICODE.search(text):
+        return text_functions.decode_vni(text)
 
-    def step(acc: Column, char: Column) -> Column:
-        merged = F.try_element_at(table, F.concat(acc["last"], char))
-        kept = F.struct(F.concat(acc["done"], acc["last"]).alias("done"), char.alias("last"))
-        return F.when(merged.isNotNull(), F.struct(acc["done"].alias("done"), merged.alias("last"))).otherwise(kept)
+    def word(w: str) -> str:
+        return text_functions.decode_vni(w) if _EVIDENCE.search(w) or _VNI.search(w) else w
 
-    chars = F.split(F.translate(c, _SINGLE_FROM, _SINGLE_TO), "")
-    return F.aggregate(chars, start, step, lambda acc: F.concat(acc["done"], acc["last"]))
+    def line(x: str) -> str:
+        if not _EVIDENCE.search(x):
+            return x
+        return "".join(map(word, _PIECES.split(x))) if _UNICODE.search(x) else text_functions.decode_vni(x)
 
+    return "\n".join(map(line, text.split("\n")))
 
-def convert(c: Column) -> Column:
-    """VNI decoded in the widest scope that is all VNI: the text, else a line, else a word."""
 
-    def word(w: Column) -> Column:
-        return F.when(has_vni_evidence(w) | looks_vni(w), decode_vni(w)).otherwise(w)
+def _each(f):
+    return lambda texts: pa.array([None if t is None else f(t) for t in texts.to_pylist()], pa.string())
 
-    def line(x: Column) -> Column:
-        pieces = F.regexp_extract_all(x, F.lit(r"(\s+|\S+)"), 1)
-        mixed = F.array_join(F.transform(pieces, word), "")
-        return F.when(~has_vni_evidence(x), x).when(~looks_unicode(x), decode_vni(x)).otherwise(mixed)
 
-    lines = F.array_join(F.transform(F.split(c, "\n"), line), "\n")
-    return F.when(c.isNull() | ~has_vni_evidence(c), c).when(~looks_unicode(c), decode_vni(c)).otherwise(lines)
+def decode_vni(c: Column) -> Column:
+    """Every character merged at most once into the one written before it, from left to right."""
+    return F.arrow_udf(_each(text_functions.decode_vni), StringType())(c)
+
+
+def convert(c: Column) -> Column:
+    """converted() of a column; texts without evidence stay in the JVM."""
+    return F.coalesce(F.arrow_udf(_each(converted), StringType())(F.when(has_vni_evidence(c), c)), c)
 
 
 def repaired(units: DataFrame) -> DataFrame:
     """Units with `fixed`: converted and composed, texts of scans untouched. Only rows that can change pass through Python."""
     own = ~F.coalesce("ocr", F.lit(False)) & F.col("text").isNotNull()
-    may = own & (has_vni_evidence(F.col("text")) | F.col("text").rlike(r"\p{M}"))
+    may = own & (has_vni_evidence(F.col("text")) | F.col("text").rlike(UNSTABLE))
     changed = units.where(F.coalesce(may, F.lit(False))).withColumn("fixed", nfc(convert(F.col("text"))))
     return units.where(~F.coalesce(may, F.lit(False))).withColumn("fixed", F.col("text")).unionByName(changed)
 

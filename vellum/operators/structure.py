@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vellum.functions.columns import squash, strip
 from vellum.operators import rules
-from vellum.operators.lines import article, chapter, clause, kept_lines
+from vellum.operators.lines import article, chapter, clause, kept_lines, union_box
 
 ORDER = ("page", "block_no", "line_no", "line_id")
 
@@ -31,8 +31,8 @@ def _read(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
     return rows.withColumn("_kind", kind).withColumn("unit_no", F.count("_kind").over(so_far))
 
 
-def _units(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
-    """Units out of numbered lines: type, label, path, page and box from the first line, text from all."""
+def _units(rows: DataFrame, order: tuple[str, ...], around: Column | None = None) -> DataFrame:
+    """Units out of numbered lines: type, label, path, page and box from the first line, text from all. Where `around` holds the box is the one around all lines."""
     label = F.when(F.col("_kind") == "heading", F.col("_ch")).when(F.col("_kind") == "dieu", F.concat(F.lit("Điều "), "_d")).when(F.col("_kind") == "khoan", F.concat(F.lit("Khoản "), "_k")).otherwise("")
     path = F.array_compact(
         F.when(F.col("_kind") == "heading", F.array("_earlier"))
@@ -42,8 +42,14 @@ def _units(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
     place = F.struct(*order)
     first = F.min_by(F.struct(F.col("_kind").alias("type"), label.alias("label"), path.alias("path"), "page", "bbox"), place).alias("first")
     ordered = F.array_sort(F.collect_list(F.struct(place.alias("place"), F.col("_text").alias("text"))))
-    units = rows.groupBy("doc", "unit_no").agg(first, F.array_join(F.transform(ordered, lambda x: x["text"]), "\n").alias("text"))
-    return units.select("doc", "unit_no", "first.type", "first.label", "first.path", "text", "first.page", "first.bbox")
+    text = F.array_join(F.transform(ordered, lambda x: x["text"]), "\n").alias("text")
+    if around is None:
+        units = rows.groupBy("doc", "unit_no").agg(first, text)
+        return units.select("doc", "unit_no", "first.type", "first.label", "first.path", "text", "first.page", "first.bbox")
+    box = union_box(F.when(around, F.col("bbox")))
+    units = rows.groupBy("doc", "unit_no").agg(first, text, F.max(around).alias("_around"), *box)
+    whole = F.when(F.col("x0").isNotNull(), F.array("x0", "y0", "x1", "y1"))
+    return units.select("doc", "unit_no", "first.type", "first.label", "first.path", "text", "first.page", F.when(F.col("_around"), whole).otherwise(F.col("first.bbox")).alias("bbox"))
 
 
 def legal_units(lines: DataFrame, order: tuple[str, ...] = ORDER) -> DataFrame:
@@ -79,7 +85,9 @@ def text_units(lines: DataFrame) -> DataFrame:
 
 
 def document_units(lines: DataFrame, pages: DataFrame) -> DataFrame:
-    """(doc, unit_no, type, label, path, text, page): boilerplate dropped, then legal structure, or a paragraph per block where there is none.
+    """(doc, unit_no, type, label, path, text, page, bbox): boilerplate dropped, then legal structure, or a paragraph per block where there is none.
+
+    A legal unit has the box of its first line, a paragraph the box around its lines.
 
     Both kinds go through the same windows: a document without an article numbers its
     units by blocks and keeps its lines as they are.
@@ -92,7 +100,7 @@ def document_units(lines: DataFrame, pages: DataFrame) -> DataFrame:
     rows = _read(rows, ORDER)
     for name, other in (("unit_no", block), ("_kind", F.lit("paragraph")), ("_text", F.col("text")), ("_chapter", F.lit(None).cast("string"))):
         rows = rows.withColumn(name, F.when(F.col("_legal"), F.col(name)).otherwise(other))
-    return _units(rows, ORDER).drop("bbox")
+    return _units(rows, ORDER, ~F.col("_legal"))
 
 
 def marker_units(pages: DataFrame, lines: DataFrame) -> DataFrame:
@@ -102,5 +110,14 @@ def marker_units(pages: DataFrame, lines: DataFrame) -> DataFrame:
     return bare.select("doc", "page", F.concat(F.lit("Trang "), F.col("page").cast("string")).alias("label"), text.alias("text"), F.col("width").alias("x1"), F.col("height").alias("y1"))
 
 
+def page_markers(pages: DataFrame) -> DataFrame:
+    """(doc, type, label, path, text, page, bbox): the placeholder unit of each page given, in the box of the page."""
+    rows = pages.groupBy("doc", "page").agg(F.max("width").alias("w"), F.max("height").alias("h"))
+    number = F.col("page").cast("string")
+    box = F.when(F.col("w").isNotNull() & F.col("h").isNotNull(), F.array(F.lit(0.0), F.lit(0.0), "w", "h"))
+    text = F.concat(F.lit(rules.MARKER + " (trang "), number, F.lit(")"))
+    return rows.select("doc", F.lit("paragraph").alias("type"), F.concat(F.lit("Trang "), number).alias("label"), F.array().cast("array<string>").alias("path"), text.alias("text"), "page", box.alias("bbox"))
+
+
 def is_marker(c: Column) -> Column:
     return c.startswith(rules.MARKER)

@@ -31,10 +31,11 @@ def intake(files: DataFrame, doc_lines: DataFrame, pages: DataFrame, added_at: s
     named = files.where(names.is_candidate(F.col("name"))).withColumn("to", names.destination(F.col("name")))
     header = named.select("doc", "to.subject", "to.clean_name", "to.source", names.source_format(F.col("name")).alias("sourceformat"))
     counts = pages.groupBy("doc").agg(F.max("page").alias("pagecount"))
-    columns = ["doc", "unit_no", "type", "label", "path", "text", "page"]
+    columns = ["doc", "unit_no", "type", "label", "path", "text", "page", "bbox"]
     text = structure.document_units(doc_lines, pages).select(*columns)
-    bare = structure.marker_units(pages, doc_lines).select("doc", F.col("page").cast("bigint").alias("unit_no"), F.lit("paragraph").alias("type"), "label", F.array().cast("array<string>").alias("path"), "text", "page")
-    units = text.unionByName(bare).withColumn("text", nfc(repair.convert(F.col("text")))).withColumn("bbox", F.lit(None).cast("array<double>")).withColumn("ocr", F.lit(None).cast("boolean"))
+    empty = pages.join(doc_lines.where("text is not null").select("doc"), "doc", "left_anti")
+    bare = structure.page_markers(empty).withColumn("unit_no", F.col("page").cast("bigint")).select(*columns)
+    units = text.unionByName(bare).withColumn("text", nfc(repair.convert(F.col("text")))).withColumn("ocr", F.lit(None).cast("boolean"))
     kinds = structure.document_kinds(lines.kept_lines(doc_lines, pages))
     rows = header.join(counts, "doc").join(kinds, "doc", "left")
     rows = rows.select("doc", "subject", "clean_name", F.lit(rules.SCHEMA_VERSION).alias("schemaversion"), stem(F.col("clean_name")).alias("title"), "source", F.lit(added_at).alias("addedat"), "sourceformat", "pagecount", F.coalesce("kind", F.lit("prose")).alias("kind"))
