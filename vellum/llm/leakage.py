@@ -33,7 +33,7 @@ from vellum.llm.shapes import IGNORABLE, latin_shape
 from vellum.session import written
 
 #: Lengths of q-grams; the first is taken with which the lemma has a bound of 1 at least for every item.
-QS = (20, 16, 12, 8, 5)
+QS = (22, 18, 14, 10, 6)
 #: Diagonals of a band in characters; bands begin every half of that.
 BAND = 64
 #: Bits of the table of the items' grams: 2 to this power, as the number of grams needs, within these limits (2 MB at most).
@@ -189,24 +189,37 @@ def _begins(words: list[str]) -> np.ndarray:
     return np.cumsum([0] + [len(w) + 1 for w in words])[:-1]
 
 
-def regions(grams: np.ndarray, order: np.ndarray, begins: np.ndarray, own: list[str], q: int, least: int) -> list[int]:
+class Item:
+    """Words, sorted grams and places of an item that documents are compared with."""
+
+    def __init__(self, words: str, q: int):
+        self.words = words.split(" ")
+        self.grams = _grams(np.frombuffer(words.encode(), np.uint8), q)
+        self.begins = _begins(self.words)
+
+
+def regions(ranked: np.ndarray, order: np.ndarray, begins: np.ndarray, item: Item, least: int) -> list[int]:
     """The shifts in words of the bands of diagonals that hold hits enough, those with most hits first.
 
-    grams, order, begins: the grams of a document, their sorted order, and where its words begin.
+    ranked, order, begins: the sorted grams of a document, their places, and where its words begin.
     """
-    mine = _grams(np.frombuffer(" ".join(own).encode(), np.uint8), q)
-    ranked = grams[order]
-    first, last = np.searchsorted(ranked, mine, "left"), np.searchsorted(ranked, mine, "right")
+    first, last = np.searchsorted(ranked, item.grams, "left"), np.searchsorted(ranked, item.grams, "right")
     n = last - first
-    place = np.repeat(np.arange(len(mine)), n)
-    at = order[np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())] if len(place) else place
-    half = (at - place + len(mine)) // (BAND // 2)
+    if n.sum() < least:
+        return []
+    place = np.repeat(np.arange(len(n)), n)
+    at = order[np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())]
+    half = (at - place + len(n)) // (BAND // 2)
     # each hit lies in the band that begins at its half and in the one before
-    bands, inverse, count = np.unique(np.concatenate([half + 1, half]), return_inverse=True, return_counts=True)
-    shift = np.searchsorted(begins, at, "right") - np.searchsorted(_begins(own), place, "right")
+    count = np.bincount(half + 1)
+    count[:-1] += count[1:]
     full = np.flatnonzero(count >= least)
-    twice = np.concatenate([shift, shift])
-    return list(dict.fromkeys(int(np.median(twice[inverse == b])) for b in full[np.argsort(-count[full], kind="stable")]))
+    shifts: dict[int, None] = {}
+    for b in full[np.argsort(-count[full], kind="stable")]:
+        mine = (half == b) | (half + 1 == b)
+        shift = np.searchsorted(begins, at[mine], "right") - np.searchsorted(item.begins, place[mine], "right")
+        shifts[int(np.median(shift))] = None
+    return list(shifts)
 
 
 def aligned(item: list[str], text: list[str], shift: int, least: int, width: int = 12, tolerance: float = 0.125) -> bool:
@@ -289,18 +302,20 @@ def leaked_passages(documents: DataFrame, items: DataFrame, least: int = 30, exc
     grams = _item_grams(asked, q)
     hits = _document_grams(texts, q, bits, _bit_table(grams, bits), told["stretch"] + BAND, lowest).join(grams, "gram")
     counted = hits.groupBy("doc_id", "item_id").agg(F.count("*").alias("n")).join(asked, "item_id").where(F.col("n") >= F.greatest(F.lit(1), F.col("bounds")[use]))
-    asks = counted.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "words", F.col("bounds")[fine].alias("bound"))).alias("asked"))
+    # written, so that its size is known: the texts are moved only if it is large
+    asks = written(counted.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "words", F.col("bounds")[fine].alias("bound"))).alias("asked")))
 
     def verify(cols: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {"doc_id": [], "item_id": []}
+        items: dict[int, Item] = {}
         for key, text, asked in zip(cols["doc_id"], cols["text"], cols["asked"], strict=True):
             words = words_of(text)
             grams = _grams(np.frombuffer(" ".join(words).encode(), np.uint8), QS[fine])
             order = np.argsort(grams, kind="stable")
-            begins = _begins(words)
+            ranked, begins = grams[order], _begins(words)
             for x in asked:
-                own = x["words"].split(" ")
-                if any(aligned(own, words, shift, least) for shift in regions(grams, order, begins, own, QS[fine], max(1, x["bound"]))):
+                item = items.get(x["item_id"]) or items.setdefault(x["item_id"], Item(x["words"], QS[fine]))
+                if any(aligned(item.words, words, shift, least) for shift in regions(ranked, order, begins, item, max(1, x["bound"]))):
                     out["doc_id"].append(key)
                     out["item_id"].append(x["item_id"])
         return out
