@@ -4,8 +4,9 @@ A hidden Markov model labels each line prose, list (list entries, index and cont
 lines), table or junk. What it sees of a line is one symbol for each of a few simple
 features, taken as independent given the label. It starts from the lines that a rule
 finds clear, and only from those; Baum-Welch rounds over all lines then count what each
-label shows and which follows which, unclear lines by their share in every label. Only
-those counts (features x symbols x labels, a fixed number) come to the driver. Viterbi
+label shows and which follows which, each line by its share in every label; the clear
+lines count once more, as they stand, so that a label keeps its meaning. Only those
+counts (features x symbols x labels, a fixed number) come to the driver. Viterbi
 decodes each page.
 
 A page longer than PIECE lines is decoded in pieces with the same result as in one: for
@@ -109,7 +110,7 @@ def first_label(f: list[int]) -> int:
         return 3
     if lead and count <= 2 and tail == 0 and known == 0:
         return 1
-    if not lead and count >= 3 and spread == 0 and known == 0 and cells == 0 and tail < 2:
+    if not lead and count >= 2 and spread == 0 and known == 0 and cells == 0 and tail < 2:
         return 0
     return -1
 
@@ -247,8 +248,11 @@ def _chains(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 _COUNTED = pa.schema([("kind", pa.int32()), ("a", pa.int32()), ("b", pa.int32()), ("n", pa.float64())])
 
 
-def _counted(pages: DataFrame, model: Model | None) -> Model:
-    """The model counted over all pages: from the clear lines, or from what another model expects of every line.
+Counts = tuple[np.ndarray, np.ndarray, list[np.ndarray]]
+
+
+def _counted(pages: DataFrame, model: Model | None) -> Counts:
+    """(first labels, steps, symbols of each feature) counted over all pages: of the clear lines, or what a model expects of every line.
 
     Each task gives out its counts once; their number is that of SYMBOLS times the labels.
     """
@@ -267,7 +271,7 @@ def _counted(pages: DataFrame, model: Model | None) -> Model:
             rows += [(2 + axis, k, x, by[x, k]) for k in range(K) for x in range(n)]
         yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), _COUNTED, strict=True)], schema=_COUNTED)
 
-    start, trans, emit = np.ones(K), np.ones((K, K)), [np.full((K, n), 0.5) for n in SYMBOLS]
+    start, trans, emit = np.zeros(K), np.zeros((K, K)), [np.zeros((K, n)) for n in SYMBOLS]
     rows = pages.select("lines").mapInArrow(count, "kind int, a int, b int, n double").groupBy("kind", "a", "b").agg(F.sum("n").alias("n"))
     for r in rows.collect():
         if r["kind"] == 0:
@@ -276,6 +280,14 @@ def _counted(pages: DataFrame, model: Model | None) -> Model:
             trans[r["a"], r["b"]] += r["n"]
         else:
             emit[r["kind"] - 2][r["a"], r["b"]] += r["n"]
+    return start, trans, emit
+
+
+def _fitted(*counts: Counts) -> Model:
+    """The model of the sum of counts; what was never seen is possible."""
+    start, trans, emit = np.ones(K), np.ones((K, K)), [np.full((K, n), 0.5) for n in SYMBOLS]
+    for a, b, c in counts:
+        start, trans, emit = start + a, trans + b, [x + y for x, y in zip(emit, c, strict=True)]
     return Model(start, trans, emit)
 
 
@@ -385,9 +397,10 @@ def label_lines(df: DataFrame, key: str = "ocr_line_id") -> DataFrame:
 
 def model_of(pages: DataFrame, rounds: int = ROUNDS) -> Model:
     """Probabilities from the clear lines of all pages, refined over all lines."""
-    model = _counted(pages, None)
+    sure = _counted(pages, None)
+    model = _fitted(sure)
     for _ in range(rounds):
-        model = _counted(pages, model)
+        model = _fitted(sure, _counted(pages, model))
     return model
 
 
