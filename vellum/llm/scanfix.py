@@ -7,6 +7,13 @@ from the word pairs of all clean units; Viterbi picks the words of a line. Words
 line ends are put together, rows that are a page number or the running title go, and
 the lines of a block become one paragraph.
 
+The words a token may have been are the syllables that the chart can make of it, all
+of them: a reading is given up only where no syllable begins with it. A token of five
+characters or more of which no syllable comes is read as a foreign word: it meets the
+words of the clean units that share its skeleton, in which confused forms are one, and
+the reading of the best channel probability stands beside them for words that no unit
+has, which all are equally likely. So tokens may have any length.
+
 Nothing of the corpus is broadcast: candidates are met with the language model by
 joins on the word pairs that the noisy rows need.
 """
@@ -16,11 +23,12 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
+from collections.abc import Callable
 from functools import lru_cache
 from math import log
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.llm.shapes import latin_shape
@@ -43,8 +51,6 @@ _LOWER = re.compile("[a-zß-öø-ỹ]+")
 _PAGE = re.compile(r"\s*[-–—\[(]?\s*(?:trang\s+|page\s+)?\d{1,4}(?:\s*/\s*\d{1,4})?\s*[-–—\])]?\s*\.?\s*\Z", re.IGNORECASE)
 _MARKS = ("-", "¬", "=", "‐")
 _CUT = re.compile(r"([^\W\d_]+)[-¬=‐]\Z")
-#: Readings tried for one token, and letters of the longest token taken for a word.
-READINGS, LONGEST = 64, 14
 
 
 @lru_cache(maxsize=1)
@@ -64,21 +70,18 @@ _BARE = str.maketrans({c: b for b in VOWELS for c in (unicodedata.normalize("NFC
 def cut_word(line: str) -> str:
     """The beginning of a word that a line cuts at its end, or empty."""
     line = line.rstrip()
-    m = _CUT.search(line, max(0, len(line) - 20)) if line[-1:] in _MARKS else None
-    if not m:
+    m = _CUT.search(line) if line[-1:] in _MARKS else None
+    if not m or " " not in line:
         return ""
-    if m[1].istitle() and len(m[1]) > 1 and " " in line:  # the beginning of a name
+    if m[1].istitle() and len(m[1]) > 1:  # the beginning of a name
         return m[1]
-    if len(m[1]) > 6:
-        return ""
-    heads = [m[1], *(w for w, _ in readings(m[1]))]
-    return m[1] if " " in line and any(h.lower().translate(_BARE) in _starts() for h in heads) else ""
+    return m[1] if any(h.lower().translate(_BARE) in _starts() for h in (m[1], *(w for w, _ in readings(m[1])))) else ""
 
 
 @lru_cache(maxsize=200_000)
 def readings(token: str) -> tuple[tuple[str, str], ...]:
-    """(word, confusions used) for every reading of a token by the chart that is a word of letters, fewest confusions first."""
-    if len(token) > LONGEST + 6 or not _SEQ.search(token):
+    """(word, confusions used) for every reading of a token by the chart that begins a syllable or is one, fewest confusions first."""
+    if not _SEQ.search(token):
         return ()
     ways: list[dict[str, tuple[str, ...]]] = [{"": ()}] + [{} for _ in token]
     for i, c in enumerate(token):
@@ -86,12 +89,13 @@ def readings(token: str) -> tuple[tuple[str, str], ...]:
             steps = [(c, (), 1)] if c.isalpha() else []
             steps += [(r, (f"{token[i : i + n]}>{r}",), n) for n in (1, 2) for r in CONFUSIONS.get(token[i : i + n], "") if i + n <= len(token)]
             for letter, how, n in steps:
+                longer = word + letter
+                if longer.lower().translate(_BARE) not in _starts():
+                    continue
                 to = ways[i + n]
-                if word + letter not in to or len(to[word + letter]) > len(used) + len(how):
-                    to[word + letter] = used + how
-        if len(ways[i + 1]) > READINGS:
-            ways[i + 1] = dict(sorted(ways[i + 1].items(), key=lambda x: len(x[1]))[:READINGS])
-    found = sorted(((w, u) for w, u in ways[-1].items() if u and len(w) <= LONGEST), key=lambda x: len(x[1]))
+                if longer not in to or len(to[longer]) > len(used) + len(how):
+                    to[longer] = used + how
+    found = sorted(((w, u) for w, u in ways[-1].items() if u), key=lambda x: len(x[1]))
     return tuple((w, "+".join(u)) for w, u in found)
 
 
@@ -103,19 +107,57 @@ def doubtful(token: str) -> bool:
         return False
     if token[:-1].isdigit() or token[0].isalpha() and token[1:].isdigit():  # numbers of articles and forms with a letter
         return False
-    return bool(plausible(token))
+    return bool(plausible(token)) or foreign(token)
 
 
 @lru_cache(maxsize=200_000)
 def plausible(token: str) -> tuple[tuple[str, str], ...]:
-    """Readings that are spelt as syllables, or with a symbol within the token any word of letters."""
-    found = readings(token)
-    spelt = tuple(x for x in found if is_syllable(x[0].lower()) and len(x[0]) > 1)
-    if spelt:
-        return spelt
-    if len(token) >= 5 and _LETTERS.match(_SEQ.sub("", token) or "1") and sum(c.isalpha() for c in token) >= 4:
-        return found
-    return ()
+    """Readings that are spelt as syllables."""
+    return tuple(x for x in readings(token) if is_syllable(x[0].lower()) and len(x[0]) > 1)
+
+
+def foreign(token: str) -> bool:
+    """Whether a token that no syllable comes of may be a misread word all the same: four letters, and none but letters beside confused forms."""
+    return len(token) >= 5 and bool(_LETTERS.match(_SEQ.sub("", token) or "1")) and sum(c.isalpha() for c in token) >= 4 and not plausible(token)
+
+
+#: Forms that are confused, each as the strokes it may be taken for, so that a word and its misreadings have one skeleton.
+_STROKES = {"m": "rii", "n": "ii", "u": "ii", "h": "ii", "d": "ci", "w": "vv"}
+_ALIKE = {"l": "i", "!": "i", "1": "i", "|": "i", "€": "c", "†": "t", "9": "g", "6": "b", "8": "b", "@": "a", "0": "o", "5": "s", "$": "s"}
+_ALIKE |= {c: strip_accents(c) for k in ("!", "@", "0") for c in CONFUSIONS[k] if not c.isascii()}
+_SKELETON = str.maketrans(_STROKES | _ALIKE)
+
+
+def skeleton(word: str) -> str:
+    return word.lower().translate(_SKELETON)
+
+
+def _skeleton_column(c: Column) -> Column:
+    out = F.translate(c, "".join(_ALIKE), "".join(_ALIKE.values()))
+    for letter, strokes in _STROKES.items():
+        out = F.replace(out, F.lit(letter), F.lit(strokes))
+    return out
+
+
+def channel(token: str, cost: Callable[[str], float], word: str | None = None) -> tuple[str, tuple[str, ...]] | None:
+    """The reading of a token with the greatest sum of cost() over its confusions, of the given word if there is one."""
+    small = word.lower() if word is not None else None
+    # by place in the token and letters written: the best sum, the word, the confusions
+    ways: list[dict[int, tuple[float, str, tuple[str, ...]]]] = [{0: (0.0, "", ())}] + [{} for _ in token]
+    for i, c in enumerate(token):
+        for size, (score, done, used) in ways[i].items():
+            steps = [(c, None, 1)] if c.isalpha() else []
+            steps += [(r, f"{token[i : i + n]}>{r}", n) for n in (1, 2) for r in CONFUSIONS.get(token[i : i + n], "") if i + n <= len(token)]
+            for letter, how, n in steps:
+                at = 0 if small is None else size + 1
+                if small is not None and small[size : size + 1] != letter.lower():
+                    continue
+                new = (score + (cost(how) if how else 0.0), done + letter, (*used, how) if how else used)
+                known = ways[i + n].get(at)
+                if known is None or new[0] > known[0]:
+                    ways[i + n][at] = new
+    best = ways[-1].get(0 if small is None else len(small))
+    return (best[1], best[2]) if best and best[2] else None
 
 
 _TAIL = re.compile(r"\W*\d+\W*\Z")
@@ -126,8 +168,6 @@ _ONE = str.maketrans("!1|€†96@05$", "illctgbaoss")
 
 def title_key(line: str) -> str:
     """The letters of a line that scanners do not confuse, without accents, case and a number at the end: to compare title lines of one document."""
-    if not 8 <= len(line) <= 200:
-        return ""
     key = strip_accents(latin_shape(line).lower())
     return _UNSURE.sub("", (_TAIL.sub("", key) if key[-1:].isdigit() else key).translate(_ONE))
 
@@ -149,9 +189,9 @@ def _inspect(cols: dict[str, list]) -> dict[str, list]:
         shape = latin_shape(text)
         lines = shape.split("\n")
         codes.append(quality.code_of(shape) if page[0] == "ocr_lines" and text and not text.isspace() else None)
-        keys.append(lines[0] if top.get(page) == n and 8 <= len(lines[0]) <= 200 else "")
+        keys.append(lines[0] if top.get(page) == n else "")
         short = len(shape) <= 20 and any(c.isdigit() for c in shape)
-        numbers.append(short and bool(_PAGE.match(shape) or _PAGE.match(" ".join(plausible(t)[0][0] if doubtful(t) else t for t in shape.split()))))
+        numbers.append(short and bool(_PAGE.match(shape) or _PAGE.match(" ".join(plausible(t)[0][0] if doubtful(t) and plausible(t) else t for t in shape.split()))))
         cuts.append(any(cut_word(line) for line in lines))
         spots = []
         for line in lines:
@@ -229,11 +269,17 @@ def language_model(units: DataFrame) -> DataFrame:
     return arrow_map(clean, _pairs, "gram string, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
+#: What the skeletons of foreign words begin with among the grams.
+KEY = "~"
+
+
 def _wanted(cols: dict[str, list]) -> dict[str, list]:
     """The words and pairs that the places of a row ask the language model for."""
     out: dict[str, list] = {"gram": []}
     for places in cols["places"]:
         for p in places:
+            if foreign(p["word"]):
+                out["gram"].append(KEY + skeleton(p["word"]))
             for word in {w.lower() for w, _ in plausible(p["word"])} | {p["word"].lower()}:
                 out["gram"].append(word)
                 out["gram"] += [f"{w.lower()} {word}" for w in _sides(p["before"])] + [f"{word} {w.lower()}" for w in _sides(p["after"])]
@@ -244,7 +290,7 @@ def _wanted(cols: dict[str, list]) -> dict[str, list]:
 def _sides(word: str) -> list[str]:
     if not word:
         return []
-    return list(dict.fromkeys(w for w, _ in plausible(word))) if doubtful(word) else [word]
+    return list(dict.fromkeys(w for w, _ in plausible(word))) or [word] if doubtful(word) else [word]
 
 
 def confusion_table(rows: DataFrame) -> dict[str, float]:
@@ -271,9 +317,12 @@ MISREAD, RIGHT = log(0.05), log(0.95)
 STRANGE = log(1e-8)
 
 
-def decode(places: list[dict], grams: dict[str, int], chart: dict[str, float]) -> list[str]:
-    """The most probable words of the places of a row, by Viterbi over the candidates of neighbouring places."""
-    total = max(1, grams.get("", 1_000_000))
+def decode(places: list[dict], grams: dict[str, int], chart: dict[str, float], total: int = 1_000_000, words: dict[str, list[str]] | None = None) -> list[str]:
+    """The most probable words of the places of a row, by Viterbi over the candidates of neighbouring places.
+
+    grams: the counts of words and pairs; total: that of all words; words: of each skeleton the foreign words that have it.
+    """
+    total = max(1, total)
 
     def unigram(w: str) -> float:
         return log((grams.get(w, 0) + 0.01) / total)
@@ -287,8 +336,12 @@ def decode(places: list[dict], grams: dict[str, int], chart: dict[str, float]) -
     out: list[str] = []
 
     def candidates(token: str) -> list[tuple[str, float]]:
+        cost = lambda c: chart.get(c, -12.0)
         own = [(token, RIGHT if token.isalpha() else STRANGE)]
-        return own + [(w, MISREAD + sum(chart.get(c, -12.0) for c in used.split("+"))) for w, used in plausible(token)]
+        if foreign(token):
+            found = [channel(token, cost), *(channel(token, cost, w) for w in (words or {}).get(skeleton(token), ()))]
+            return list(dict(own + [(x[0], MISREAD + sum(map(cost, x[1]))) for x in found if x]).items())
+        return own + [(w, MISREAD + sum(map(cost, used.split("+")))) for w, used in plausible(token)]
 
     def finish(run: list[tuple[dict, list[tuple[str, float]]]]) -> list[str]:
         best: list[dict[str, tuple[float, str | None]]] = []
@@ -326,7 +379,12 @@ def corrections(rows: DataFrame, units: DataFrame, tab: str | None = None) -> Da
     noisy = rows.where(F.size("places") > 0).select("tab", "row_id", "places")
     chart = confusion_table(noisy)
     noisy = noisy.where(F.col("tab") == tab) if tab else noisy
-    model = language_model(units)
+    model = written(language_model(units))
+    single = ~F.contains("gram", F.lit(" "))
+    total = model.where(single).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    by_skeleton = model.where(single & (F.length("gram") >= 3)).select(F.concat(F.lit(KEY), _skeleton_column(F.col("gram"))).alias("gram"), F.col("gram").alias("word"), "n")
+    model = model.select("gram", F.lit(None).cast("string").alias("word"), "n").unionByName(by_skeleton)
+
     def ask(cols: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {"tab": [], "row_id": [], "gram": []}
         for tab, key, places in zip(cols["tab"], cols["row_id"], cols["places"], strict=True):
@@ -337,12 +395,17 @@ def corrections(rows: DataFrame, units: DataFrame, tab: str | None = None) -> Da
         return out
 
     answers = arrow_map(noisy, ask, "tab string, row_id bigint, gram string").join(model, "gram")
-    answers = answers.groupBy("tab", "row_id").agg(F.collect_set(F.struct("gram", "n")).alias("grams"))
+    answers = answers.groupBy("tab", "row_id").agg(F.collect_set(F.struct("gram", "word", "n")).alias("grams"))
 
     def solve(cols: dict[str, list]) -> dict[str, list]:
         out: dict[str, list] = {"tab": [], "row_id": [], "wrong": [], "right": []}
         for tab, key, places, grams in zip(cols["tab"], cols["row_id"], cols["places"], cols["grams"], strict=True):
-            words = decode(places, {g["gram"]: g["n"] for g in grams or ()}, chart)
+            counts, others = {}, {}
+            for g in grams or ():
+                counts[g["word"] or g["gram"]] = g["n"]
+                if g["word"]:
+                    others.setdefault(g["gram"][len(KEY) :], []).append(g["word"])
+            words = decode(places, counts, chart, total, {k: sorted(v) for k, v in others.items()})
             pairs = [(p["word"], w) for p, w in zip(places, words, strict=True) if w != p["word"]]
             if pairs:
                 out["tab"].append(tab)
