@@ -233,30 +233,51 @@ def q_vni_evidence(spark, d):
 
 
 _PAIR_MAP = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in repair.VNI_PAIRS.items()) + "}"
+EVIDENT, UNICODE, VNI = (lambda c, p=p: HAS(c, p) for p in (repair.EVIDENCE, repair.UNICODE_LETTERS, repair.VNI_LETTERS))
 
 
-@query(f"""WITH {UNITS}, pm AS (SELECT {_PAIR_MAP} AS m)
-SELECT unit_id, list_reduce(string_split(translate(text, 'ñÑöÖôÔæÆòÒóÓ', 'đĐưƯơƠỉỈịỊĩĨ'), ''), lambda a, c:
-  CASE WHEN m[right(a, 1) || c] IS NOT NULL THEN left(a, length(a) - 1) || m[right(a, 1) || c] ELSE a || c END, '') AS text FROM u, pm WHERE {HAS('text', repair.EVIDENCE)} AND NOT {HAS('text', repair.UNICODE_LETTERS)}
-  AND nfc_normalize(text) = text""")
+def _decoded(c: str, n: int) -> str:
+    """A text decoded from VNI, with the pairs in pm.m; n keeps the names of nested lambdas apart."""
+    return f"""list_reduce(string_split(translate({c}, 'ñÑöÖôÔæÆòÒóÓ', 'đĐưƯơƠỉỈịỊĩĨ'), ''), lambda a{n}, c{n}:
+  CASE WHEN m[right(a{n}, 1) || c{n}] IS NOT NULL THEN left(a{n}, length(a{n}) - 1) || m[right(a{n}, 1) || c{n}] ELSE a{n} || c{n} END, '')"""
+
+
+_BY_WORDS = f"array_to_string(list_transform(regexp_extract_all(ln, '(\\s+|\\S+)', 1), lambda w: CASE WHEN {EVIDENT('w')} OR {VNI('w')} THEN {_decoded('w', 3)} ELSE w END), '')"
+_BY_LINES = f"array_to_string(list_transform(string_split(text, chr(10)), lambda ln: CASE WHEN NOT {EVIDENT('ln')} THEN ln WHEN NOT {UNICODE('ln')} THEN {_decoded('ln', 2)} ELSE {_BY_WORDS} END), chr(10))"
+#: Units with `fixed`: the widest scope that is all VNI is decoded, and letters are composed; texts of scans stay.
+REPAIRED = f"""{UNITS}, pm AS (SELECT {_PAIR_MAP} AS m), cv AS (SELECT u.*, {_decoded('text', 1)} AS whole, {_BY_LINES} AS parts FROM u, pm WHERE {EVIDENT('text')} AND NOT coalesce(ocr, false)),
+fx AS (SELECT unit_id, doc, text, ocr, nfc_normalize(CASE WHEN {UNICODE('text')} THEN parts ELSE whole END) AS fixed FROM cv
+  UNION ALL SELECT unit_id, doc, text, ocr, CASE WHEN coalesce(ocr, false) THEN text ELSE nfc_normalize(text) END FROM u WHERE coalesce(ocr, false) OR NOT {EVIDENT('text')} OR text IS NULL),
+wc AS (SELECT *, NOT coalesce(ocr, false) AS own, {STRIP('fixed')} AS a, {STRIP('text')} AS b FROM fx),
+rp AS (SELECT doc, count(*) FILTER (own AND fixed <> text) AS changed, count(*) FILTER (own AND {VNI('fixed')}) AS residue,
+  bool_and(NOT own OR coalesce(a <> '' AND len(regexp_split_to_array(a, '{WS}+')) = len(regexp_split_to_array(b, '{WS}+')), false)) AS safe FROM wc GROUP BY doc)"""
+
+
+@query(f"WITH {REPAIRED} SELECT unit_id, whole AS text FROM cv WHERE NOT {UNICODE('text')} AND nfc_normalize(text) = text UNION ALL SELECT unit_id, {_decoded('text', 1)} FROM u, pm WHERE ocr AND {EVIDENT('text')} AND NOT {UNICODE('text')} AND nfc_normalize(text) = text")
 def q_vni_decoded(spark, d):
     text = F.col("text")
     rows = _units(spark, d).where(repair.has_vni_evidence(text) & ~repair.looks_unicode(text) & (C.nfc(text) == text))
     return rows.select("unit_id", repair.decode_vni(text).alias("text"))
 
 
+@query(f"WITH {REPAIRED} SELECT unit_id, fixed AS text FROM fx WHERE {EVIDENT('text')} AND NOT coalesce(ocr, false)")
+def q_vni_converted(spark, d):
+    """Every unit with VNI in it, whole or in lines or words of it."""
+    return repair.repaired(_units(spark, d).where(repair.has_vni_evidence(F.col("text")) & ~F.coalesce("ocr", F.lit(False)))).select("unit_id", F.col("fixed").alias("text"))
+
+
 @query(f"WITH {UNITS} SELECT unit_id, nfc_normalize(text) AS text FROM u WHERE nfc_normalize(text) <> text")
 def q_composed(spark, d):
     rows = _units(spark, d).where(F.col("text").rlike(r"[^\x00-\x7F]")).withColumn("fixed", C.nfc(F.col("text")))
     return rows.where("fixed <> text").select("unit_id", F.col("fixed").alias("text"))
 
 
-@query()
+@query(f"WITH {REPAIRED} SELECT doc, changed, residue, safe FROM rp")
 def q_repair_report(spark, d):
     return repair.repair_report(_units(spark, d))
 
 
-@query()
+@query(f"WITH {REPAIRED} SELECT unit_id, CASE WHEN safe AND changed > 0 THEN fixed ELSE text END AS text FROM fx LEFT JOIN rp USING (doc)")
 def q_repaired_units(spark, d):
     return repair.apply_repair(_units(spark, d)).select("unit_id", "text")
 
@@ -320,7 +341,11 @@ def q_latest_pages(spark, d):
 # --- sidecars --------------------------------------------------------------------------------
 
 
-@query()
+@query(f"""WITH {UNITS}, {SIDECARS}, j AS (SELECT doc, unit_no, '{{' || concat_ws(',', '"type":' || to_json(type), '"label":' || to_json(coalesce(label, '')), '"path":' || to_json(path), '"text":' || to_json(text), '"page":' || page,
+  CASE WHEN len(bbox) = 4 THEN '"bbox":' || to_json(bbox) END, CASE WHEN ocr THEN '"ocr":true' END) || '}}' AS unit FROM u),
+g AS (SELECT doc, string_agg(unit, ',' ORDER BY unit_no) AS units FROM j GROUP BY doc)
+SELECT doc, '{{' || concat_ws(',', '"schemaVersion":' || schemaversion, '"title":' || to_json(coalesce(title, '')), '"source":' || to_json(source), '"addedAt":' || to_json(addedat), '"sourceFormat":' || to_json(sourceformat), '"pageCount":' || pagecount, '"kind":' || to_json(kind), '"units":[' || units || ']') || '}}' AS json
+FROM s JOIN g USING (doc)""")
 def q_sidecar_json(spark, d):
     return sidecar.sidecar_json(_sidecars(spark, d), _units(spark, d))
 
@@ -497,7 +522,13 @@ def q_downtimes(spark, d):
     return out.select("task", F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "minutes", health.duration_text(F.col("minutes")).alias("duration"))
 
 
-@query()
+ALERTS = f"""{_RUNS}, x AS (SELECT *, coalesce(count(*) FILTER (ok) OVER (PARTITION BY task ORDER BY ts, run_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS streak FROM ru),
+y AS (SELECT task, min(ts) FILTER (NOT ok) AS a, max(ts) FILTER (ok) AS b, list(ts ORDER BY ts, run_id) FILTER (NOT ok) AS fails FROM x GROUP BY task, streak HAVING count(*) FILTER (NOT ok) > 0),
+z AS (SELECT task, a, b, list_reduce(list_transform(fails, lambda t: [t]), lambda sent, t: CASE WHEN len(sent) = 0 AND t[1] >= a + INTERVAL 120 MINUTE OR len(sent) > 0 AND t[1] >= sent[-1] + INTERVAL 24 HOUR THEN list_append(sent, t[1]) ELSE sent END, []::TIMESTAMP[]) AS sent FROM y),
+al AS (SELECT task, unnest(sent) AS ts, 'failing' AS kind FROM z UNION ALL SELECT task, b, CASE WHEN len(sent) > 0 THEN 'recovered' ELSE 'recovered_unreported' END FROM z WHERE b IS NOT NULL AND (len(sent) > 0 OR b >= a + INTERVAL 120 MINUTE))"""
+
+
+@query(f"WITH {ALERTS} SELECT task, ts, kind FROM al")
 def q_health_alerts(spark, d):
     return health.alerts(_runs(spark, d), 120, 24).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
@@ -547,7 +578,7 @@ def q_merge_base(spark, d):
     return cache.newest_common(ours, c.where("c_nationkey = 3").select(F.col("c_mktsegment").alias("digest")).distinct())
 
 
-@query()
+@query(f"WITH {ALERTS} SELECT task::VARCHAR AS task, ts, kind FROM al")
 def q_alert_stream(spark, d):
     """The alerts of q_health_alerts out of the stateful stream, read to its end."""
     import uuid
