@@ -188,6 +188,25 @@ def test_anchor_is_monotone(spark):
     assert sorted(rows(anchor.anchored(units, pages), "unit_no", "page")) == [(1, 2), (2, 3), (3, 3), (4, 3), (5, 3)]
 
 
+def test_anchor_against_brute_force(spark):
+    r = random.Random(3)
+    pages = [(d, p, " ".join(r.choice(["một", "hai", "ba bốn"]) for _ in range(r.randint(0, 40)))) for d in "ab" for p in range(1, 8)]
+    units = []
+    for d in "abc":
+        for n in range(30):
+            text = r.choice([t for x, _, t in pages if x == d] or ["x"])
+            units.append((d, n, text[(i := r.randint(0, 20)) : i + r.choice([5, 60])] if r.random() < 0.8 else "lạ"))
+    want = []
+    for d in "abc":
+        floor = 1
+        for _, n, text in (u for u in units if u[0] == d):
+            start = " ".join(text.split())[:40]
+            floor = next((p for x, p, t in pages if x == d and start and p >= floor and start in t), floor)
+            want.append((d, n, floor))
+    got = rows(anchor.anchored(spark.createDataFrame(units, "doc string, unit_no int, text string").repartition(3), spark.createDataFrame(pages, "doc string, page int, text string")))
+    assert sorted(got) == sorted(want)
+
+
 def test_progress_and_priority(spark):
     entries = spark.createDataFrame([("a", "luat", 38, 48, 100), ("b", "luat", 10, 48, 200), ("a", "gt", 1, 398, 50), ("a", "xoa", 5, 10, 10), ("a", "hong", None, 0, 7)], "device string, key string, page int, total int, last_read long")
     stones = spark.createDataFrame([("b", "xoa", 10)], "device string, key string, ts long")
@@ -200,7 +219,11 @@ def test_progress_and_priority(spark):
 def test_reading_files_with_reserved_names(spark, tmp_path):
     (tmp_path / "_reading-x.json").write_text(json.dumps({"entries": {"a.pdf": {"page": 1, "total": 4, "lastReadAt": 9}}, "tombstones": {"b.pdf": 3}}))
     (tmp_path / "_reading-y.json").write_text("not json")
-    files = discovery.contents(spark, str(tmp_path), ["_reading-x.json", "_reading-y.json", "_reading-z.json"])
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a/_b.json").write_text("{}")
+    listed = discovery.listing(spark, str(tmp_path))
+    assert {(r["rel_path"], r["size"]) for r in listed.collect()} == {(n, (tmp_path / n).stat().st_size) for n in ("_reading-x.json", "_reading-y.json", "a/_b.json")}
+    files = discovery.contents(listed.where("rel_path like '_reading%'").unionByName(spark.createDataFrame([("_reading-z.json", 0, 0)], listed.schema)), str(tmp_path))
     entries, stones = discovery.reading_entries(files)
     assert rows(entries) == [("_reading-x.json", "a.pdf", 1, 4, 9)] and rows(stones, "key", "ts") == [("b.pdf", 3)]
 
@@ -273,6 +296,8 @@ def test_errors_and_durations(spark):
     rules = spark.createDataFrame([(2, "b", "two"), (1, "A|x", "one")], "ord int, match string, reason string")
     got = rows(health.explained(spark.createDataFrame([("aB",), ("B",), ("c",), (None,)], "detail string"), rules))
     assert got == [("aB", "one"), ("B", "two"), ("c", None), (None, None)]
+    many = spark.createDataFrame([(i, f"x{i}$", str(i)) for i in range(350)], "ord int, match string, reason string")
+    assert rows(health.explained(spark.createDataFrame([("x349",), ("x7",)], "detail string"), many)) == [("x349", "349"), ("x7", "7")]
     assert [r[0] for r in rows(spark.createDataFrame([(5,), (125,), (3000,)], "m int").select(health.duration_text(F.col("m"))))] == ["5 phút", "2 giờ 5 phút", "2 ngày 2 giờ"]
 
 
@@ -325,13 +350,20 @@ def test_inbox_stream_and_sinks(spark, tmp_path):
     box.mkdir()
     for name in ("[Môn] a.pdf", ".hidden.pdf", "b.exe", "c.jpg"):
         (box / name).write_bytes(b"1")
-    seen = []
-    q = inbox.publish_stream(inbox.inbox_files(spark, str(box)).select("name", "subject"), str(tmp_path / "cp"), seen.extend)
-    q.awaitTermination(60)
-    assert sorted((r["name"], r["subject"]) for r in seen) == [("[Môn] a.pdf", "Môn"), ("c.jpg", "Chưa phân loại")]
-    q = inbox.publish_stream(inbox.inbox_files(spark, str(box)).select("name", "subject"), str(tmp_path / "cp"), seen.extend)
-    q.awaitTermination(60)
-    assert len(seen) == 2  # a second pass finds nothing new
+    done = tmp_path / "done"
+    done.mkdir()
+
+    def publish(row):
+        if row["name"] == "c.jpg":
+            raise ValueError("no picture")
+        with (done / row["name"]).open("a") as f:
+            f.write(row["subject"])
+
+    for _ in range(2):  # a second pass finds nothing new
+        q = inbox.publish_stream(inbox.inbox_files(spark, str(box)).select("name", "subject"), str(tmp_path / "cp"), publish)
+        q.awaitTermination(60)
+        assert [(p.name, p.read_text()) for p in done.iterdir()] == [("[Môn] a.pdf", "Môn")]
+        assert sorted(rows(spark.read.parquet(str(tmp_path / "cp-report"))), key=str) == [("[Môn] a.pdf", None), ("c.jpg", "ValueError: no picture")]
     pdf, js = tmp_path / "out/a.pdf", tmp_path / "out/a.json"
     assert inbox.publish_pair(box / "c.jpg", {"x": "ị"}, pdf, js, box / "c.jpg") and not (box / "c.jpg").exists() and json.loads(js.read_text()) == {"x": "ị"}
     stat = pdf.stat()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
@@ -12,6 +13,11 @@ from vellum.plans import library
 from vellum.session import local_session
 
 
+def now() -> str:
+    """The time in the library's zone, to the second."""
+    return datetime.now(timezone(timedelta(hours=7))).isoformat(timespec="seconds")
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="vellum", description=__doc__)
     parser.add_argument("command", choices=("intake", "repair", "slides", "validate", "lexicon"))
@@ -28,7 +34,7 @@ def main(argv: list[str] | None = None) -> int:
     history = None
     if args.command == "intake":
         files = heads.where("title is not null").select("doc", F.concat(F.lit("["), F.coalesce("subject", F.lit("")), F.lit("] "), "title", F.lit(".pdf")).alias("name"))
-        done = library.intake(files, read("doc_lines").dropDuplicates(["line_id"]), read("doc_pages"), "2025-01-01T00:00:00+07:00")
+        done = library.intake(files, read("doc_lines").dropDuplicates(["line_id"]), read("doc_pages"), now())
         result, report = done.published, done.report
     elif args.command == "repair":
         result, history, per_doc = library.repair_pass(units)
@@ -40,7 +46,7 @@ def main(argv: list[str] | None = None) -> int:
         result = sidecar.validation_errors(sidecar.sidecar_json(heads, units)).where("size(errors) > 0").select("doc", "errors")
         report = result.agg(F.count("*").alias("invalid"))
     else:
-        result = recognition.lexicon(units)
+        result = recognition.lexicon(units).orderBy("word")
         report = result.agg(F.count("*").alias("words"))
     if args.apply and args.out:
         if history is not None:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellum.functions.columns import template
 from vellum.operators.ranking import summed_before
 
-#: Rules that one list may hold.
-RULES = 500
+#: Rules in one expression.
+RULES = 100
 
 
 def streaks(runs: DataFrame) -> DataFrame:
@@ -36,54 +39,63 @@ def downtimes(runs: DataFrame, gap_minutes: int) -> DataFrame:
     return rows.withColumn("minutes", minutes).where(F.col("minutes") >= gap_minutes)
 
 
+_TOLD = pa.schema([("task", pa.string()), ("ts", pa.timestamp("us", "UTC")), ("kind", pa.string())])
+
+
 def alerts(runs: DataFrame, after_minutes: int = 120, repeat_hours: int = 24) -> DataFrame:
     """(task, ts, kind): failing, recovered and recovered_unreported, in batch.
 
     runs may carry `sent`: whether a message sent at that run would get out; a failing
     alert that does not get out is due again at the next run. The alerts of a streak
-    depend on the last one that was sent, so each streak is folded over in order; a
-    streak is bounded by the successes around it, not by the table.
+    depend on the last one that was sent, so the runs of a task pass in order; what is
+    carried from run to run is two times, however long a streak is.
     """
-    order = Window.partitionBy("task").orderBy("ts", "run_id")
     sent = F.coalesce("sent", F.lit(True)) if "sent" in runs.columns else F.lit(True)
-    rows = runs.withColumn("_sent", sent).withColumn("_streak", F.count_if("ok").over(order.rowsBetween(Window.unboundedPreceding, -1)))
-    grouped = rows.groupBy("task", "_streak").agg(F.sort_array(F.collect_list(F.struct("ts", "run_id", "ok", F.col("_sent").alias("sent")))).alias("runs"))
-    empty = F.struct(
-        F.lit(None).cast("timestamp").alias("first"), F.lit(None).cast("timestamp").alias("last"), F.array().cast("array<struct<ts:timestamp,kind:string>>").alias("out")
-    )
-
-    def step(acc: Column, run: Column) -> Column:
-        first = F.coalesce(acc["first"], run["ts"])
-        due = F.when(acc["last"].isNotNull(), run["ts"] >= acc["last"] + F.make_interval(hours=F.lit(repeat_hours))).otherwise(run["ts"] >= first + F.make_interval(mins=F.lit(after_minutes)))
-        fires = due & run["sent"]
-        failed = F.struct(
-            first.alias("first"),
-            F.when(fires, run["ts"]).otherwise(acc["last"]).alias("last"),
-            F.when(fires, F.concat(acc["out"], F.array(F.struct(run["ts"].alias("ts"), F.lit("failing").alias("kind"))))).otherwise(acc["out"]).alias("out"),
-        )
-        late = run["ts"] >= acc["first"] + F.make_interval(mins=F.lit(after_minutes))
-        kind = F.when(acc["first"].isNull(), F.lit(None)).when(acc["last"].isNotNull(), "recovered").when(late, "recovered_unreported")
-        ended = F.when(kind.isNotNull(), F.concat(acc["out"], F.array(F.struct(run["ts"].alias("ts"), kind.alias("kind"))))).otherwise(acc["out"])
-        well = F.struct(F.lit(None).cast("timestamp").alias("first"), F.lit(None).cast("timestamp").alias("last"), ended.alias("out"))
-        return F.when(run["ok"], well).otherwise(failed)
-
-    told = grouped.select("task", F.explode(F.aggregate("runs", empty, step, lambda acc: acc["out"])).alias("a"))
-    return told.select("task", "a.ts", "a.kind")
+    rows = runs.select(F.col("task").cast("string").alias("task"), F.unix_micros("ts").alias("at"), "run_id", "ok", sent.alias("sent")).repartition("task").sortWithinPartitions("task", "at", "run_id")
+    after, repeat = after_minutes * 60_000_000, repeat_hours * 3_600_000_000
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begun, task, first, last = False, None, None, None
+        for batch in batches:
+            out = ([], [], [])
+
+            def say(kind: str, out=out) -> None:
+                for values, v in zip(out, (task, at, kind), strict=True):
+                    values.append(v)
+
+            for name, at, ok, gets_out in zip(*(batch.column(c).to_pylist() for c in ("task", "at", "ok", "sent")), strict=True):
+                if not begun or name != task:
+                    begun, task, first, last = True, name, None, None
+                if ok:
+                    if last is not None or first is not None and at >= first + after:
+                        say("recovered" if last is not None else "recovered_unreported")
+                    first = last = None
+                    continue
+                first = at if first is None else first
+                if gets_out and (at >= last + repeat if last is not None else at >= first + after):
+                    say("failing")
+                    last = at
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()).cast(f.type) if f.name == "ts" else pa.array(v, f.type) for v, f in zip(out, _TOLD, strict=True)], schema=_TOLD)
+
+    told = rows.mapInArrow(tell, "task string, ts timestamp, kind string")
+    return told.withColumn("task", F.col("task").cast(runs.schema["task"].dataType))
 
 
 def explained(errors: DataFrame, rules: DataFrame, text: str = "detail") -> DataFrame:
     """errors with `reason`: that of the first rule (ord, match, reason) whose pattern occurs, in any letter case; null if none does.
 
-    The rules are a list kept by hand, of RULES entries at most; they become one
-    expression over each row, so that nothing is joined.
+    The rules are a list kept by hand. They become expressions over each row, RULES of
+    them in one, so that nothing is joined.
     """
-    kept = rules.orderBy("ord").limit(RULES + 1).collect()
-    if len(kept) > RULES:
-        raise ValueError(f"more than {RULES} rules")
-    reason = F.lit(None).cast("string")
-    for r in reversed(kept):
-        reason = F.when(F.col(text).rlike("(?i)" + r["match"]), r["reason"]).otherwise(reason)
-    return errors.withColumn("reason", reason)
+    kept = rules.orderBy("ord").collect()
+    parts = []
+    for i in range(0, len(kept), RULES):
+        found = F.lit(None).cast("string")
+        for r in reversed(kept[i : i + RULES]):
+            found = F.when(F.col(text).rlike("(?i)" + r["match"]), r["reason"]).otherwise(found)
+        parts.append(found)
+    return errors.withColumn("reason", F.coalesce(*parts) if parts else F.lit(None).cast("string"))
 
 
 def duration_text(minutes: Column) -> Column:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,25 +15,45 @@ from vellum.operators.structure import is_marker
 
 
 def listing(spark: SparkSession, root: str) -> DataFrame:
-    """(rel_path, size, mtime) of every file below a root.
+    """(rel_path, size, mtime) of every file below a root in a folder that all executors share.
 
-    Listed by the driver: file sources of the engine hide names with a leading
-    underscore even when named, and a library has some.
+    The driver lists the root alone; what lies below each of its folders is listed in
+    tasks. File sources of the engine hide names with a leading underscore even when
+    named, and a library has some.
     """
     base = Path(root)
-    rows = [(p.relative_to(base).as_posix(), p.stat().st_size, p.stat().st_mtime_ns // 1000) for p in sorted(base.rglob("*")) if p.is_file()]
-    return spark.createDataFrame(rows, "rel_path string, size bigint, mtime bigint")
-
-
-def contents(spark: SparkSession, root: str, rel_paths: list[str]) -> DataFrame:
-    """(rel_path, content) of small files of any name; unreadable ones are left out."""
-    rows = []
-    for rel in rel_paths:
-        try:
-            rows.append((rel, (Path(root) / rel).read_text(encoding="utf-8")))
-        except (OSError, UnicodeDecodeError):
-            continue
-    return spark.createDataFrame(rows, "rel_path string, content string")
+    tops = [(p.name,) for p in sorted(base.iterdir())]
+
+    def walk(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for top in frame["top"]:
+                for p in [base / top, *sorted((base / top).rglob("*"))]:
+                    try:
+                        if p.is_file():
+                            rows.append((p.relative_to(base).as_posix(), p.stat().st_size, p.stat().st_mtime_ns // 1000))
+                    except OSError:  # gone since
+                        continue
+            yield pd.DataFrame(rows, columns=["rel_path", "size", "mtime"])
+
+    folders = spark.createDataFrame(tops, "top string")
+    return folders.repartition(max(1, min(len(tops), 1000))).mapInPandas(walk, "rel_path string, size bigint, mtime bigint")
+
+
+def contents(files: DataFrame, root: str) -> DataFrame:
+    """(rel_path, content) of the files (rel_path) of any name, read in tasks; unreadable ones are left out."""
+
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = []
+            for rel in frame["rel_path"]:
+                try:
+                    rows.append((rel, (Path(root) / rel).read_text(encoding="utf-8")))
+                except (OSError, UnicodeDecodeError):
+                    continue
+            yield pd.DataFrame(rows, columns=["rel_path", "content"])
+
+    return files.select("rel_path").mapInPandas(read, "rel_path string, content string")
 
 
 def _folders(c: Column) -> Column:

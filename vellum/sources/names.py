@@ -57,9 +57,8 @@ def free_stems(arrivals: DataFrame, existing: DataFrame) -> DataFrame:
     """(subject, seq, base, stem): for each arrival the first of `base`, `base (1)`, `base (2)`, ... that is free.
 
     arrivals(subject, seq, name) in order of seq, existing(subject, stem). The k-th
-    arrival of a base takes the k-th free number, by a join of ranks: free numbers are
-    those of a sequence that is as long as takes and arrivals together, without the
-    taken ones. Bases that themselves look like `other (k)` of the same subject are
+    arrival of a base takes the k-th free number: one window over arrivals and taken
+    numbers counts how many taken ones it goes past. Bases that themselves look like `other (k)` of the same subject are
     followed one by one, in a fold over the arrivals of that subject only.
     """
     new = arrivals.withColumn("base", stem(F.col("name")))
@@ -72,12 +71,14 @@ def free_stems(arrivals: DataFrame, existing: DataFrame) -> DataFrame:
     taken = existing.select("subject", F.explode(F.array(F.struct(F.col("stem").alias("base"), F.lit(0).alias("k")), F.struct(F.regexp_replace("stem", r" \(\d+\)$", "").alias("base"), number.alias("k")))).alias("t"))
     taken = taken.select("subject", "t.base", "t.k").where("k is not null").where((F.col("k") == 0) | (F.col("k") > 0)).distinct()
     ranked = plain.withColumn("rank", F.row_number().over(Window.partitionBy("subject", "base").orderBy("seq")))
-    wanted = ranked.groupBy("subject", "base").agg(F.count("*").alias("n"))
-    used = taken.groupBy("subject", "base").agg(F.collect_set("k").alias("ks"))
-    free = wanted.join(used, ["subject", "base"], "left").withColumn("ks", F.coalesce("ks", F.array().cast("array<int>")))
-    free = free.select("subject", "base", F.posexplode(F.slice(F.array_except(F.sequence(F.lit(0), (F.col("n") + F.size("ks")).cast("int")), F.col("ks")), F.lit(1), F.col("n").cast("int"))).alias("pos", "k"))
+    # before the i-th taken number there are (number - i) free ones: an arrival of rank r goes past all taken ones of which r or fewer come before
+    by_base = Window.partitionBy("subject", "base")
+    before = taken.withColumn("place", F.col("k") - F.row_number().over(by_base.orderBy("k")) + 1).select("subject", "base", "place", F.lit(0).alias("kind"), F.lit(None).cast(arrivals.schema["seq"].dataType).alias("seq"))
+    both = before.unionByName(ranked.select("subject", "base", (F.col("rank") - 1).alias("place"), F.lit(1).alias("kind"), "seq"))
+    passed = F.count_if(F.col("kind") == 0).over(by_base.orderBy("place", "kind").rowsBetween(Window.unboundedPreceding, 0))
+    free = both.withColumn("k", F.col("place") + passed).where("kind = 1")
     named = F.when(F.col("k") == 0, F.col("base")).otherwise(F.concat("base", F.lit(" ("), F.col("k").cast("string"), F.lit(")")))
-    simple = ranked.join(free.withColumn("rank", F.col("pos") + 1), ["subject", "base", "rank"]).select("subject", "seq", "base", named.alias("stem"))
+    simple = free.select("subject", "seq", "base", named.alias("stem"))
 
     def follow(new, old):
         import pandas as pd

@@ -96,26 +96,47 @@ def publish_pair(source: Path, sidecar: dict, pdf: Path, js: Path, original: Pat
     return True
 
 
-def replace_if_unchanged(js: Path, expected: bytes, new: str, pdf: Path, signature: tuple[int, int]) -> bool:
-    """Compare and swap: only if the PDF's (size, mtime) and the old sidecar are what the work began from."""
+def replace_if_unchanged(js: Path, expected: bytes, new: str, pdf: Path, signature: tuple[int, int], tries: int = 5, sleep: Callable[[float], None] = time.sleep) -> bool:
+    """Compare and swap: only if the PDF's (size, mtime) and the old sidecar are what the work began from. A file that is held is tried again, a few times."""
     try:
         now = pdf.stat()
         if (now.st_size, now.st_mtime_ns) != tuple(signature) or js.read_bytes() != expected:
             return False
     except OSError:
         return False
-    write_whole(js, new)
-    return True
+    for _ in range(tries):
+        try:
+            write_whole(js, new)
+            return True
+        except PermissionError:
+            sleep(0.2)
+    return False
+
+
+def published(rows: DataFrame, publish: Callable[[dict], None]) -> DataFrame:
+    """(row, error): every row handed to an idempotent publisher, in tasks; one that fails is told and never stops the others."""
+
+    def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for row in frame.to_dict("records"):
+                try:
+                    publish(row)
+                    out.append((str(row[frame.columns[0]]), None))
+                except Exception as problem:  # one bad file never stops the others
+                    out.append((str(row[frame.columns[0]]), f"{type(problem).__name__}: {problem}"[:400]))
+            yield pd.DataFrame(out, columns=["row", "error"])
+
+    return rows.mapInPandas(each, "row string, error string")
 
 
-def publish_stream(rows: DataFrame, checkpoint: str, publish: Callable[[list[dict]], None], trigger: dict | None = None):
-    """Micro-batches of (rel, json) handed to an idempotent publisher once each; the checkpoint is the single-writer lock.
+def publish_stream(rows: DataFrame, checkpoint: str, publish: Callable[[dict], None], trigger: dict | None = None):
+    """Micro-batches of rows handed to an idempotent publisher once each; the checkpoint is the single-writer lock.
 
-    Rows are drawn partition by partition, so that the driver holds one at a time.
+    Published in tasks. What was published and what failed is appended to a table beside the checkpoint.
     """
 
     def each(batch: DataFrame, _: int) -> None:
-        for row in batch.toLocalIterator():
-            publish([row.asDict()])
+        published(batch, publish).write.mode("append").parquet(f"{checkpoint.rstrip('/')}-report")
 
     return rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
