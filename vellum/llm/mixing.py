@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from vellum.session import written
 
-BUCKETS = 512
+#: Documents of a bucket, about, if all were of one source; and the least number of buckets.
+IN_BUCKET, BUCKETS = 50_000, 512
 
 
 def default_vocabulary() -> str:
@@ -86,10 +87,11 @@ def mix(documents: DataFrame, targets: DataFrame, vocabulary: str | None = None,
 
 
 def _drawn(sizes: DataFrame, rates: DataFrame, seed: int) -> DataFrame:
-    rows = sizes.where("source is not null").withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(BUCKETS)).cast("int"))
+    buckets = max(BUCKETS, sizes.count() // IN_BUCKET)
+    rows = sizes.where("source is not null").withColumn("bucket", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(buckets)).cast("int"))
     within = Window.partitionBy("source", "bucket").orderBy("doc_id", "tokens")
     over = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # at most BUCKETS rows a source
+    # as many rows a source as there are buckets
     offsets = rows.groupBy("source", "bucket").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(over), F.lit(0))).select("source", "bucket", "before")
     ranked = rows.withColumn("rank", F.row_number().over(within)).join(offsets, ["source", "bucket"]).join(rates, "source")
     offset = F.pmod(F.xxhash64("source", F.lit(seed + 1)), F.lit(1 << 30)) / F.lit(float(1 << 30))
