@@ -26,6 +26,46 @@ def test_commands(spark, command, tmp_path, capsys):
         assert report["unsafe"] == 0 and (tmp_path / "history").exists()
 
 
+def test_inbox_to_published_pairs(spark, tmp_path):
+    from vellum.sources import office
+
+    def fake_pdf(content: bytes) -> list[tuple]:
+        """A PDF is here its lines of text; a form feed ends a page."""
+        if content.startswith(b"broken"):
+            raise ValueError("no PDF")
+        return [(p, 0, n, t or None, [50.0, 200.0 + 20 * n, 500.0, 215.0 + 20 * n], 595.0, 842.0) for p, page in enumerate(content.decode().split("\f"), 1) for n, t in enumerate(page.split("\n"))]
+
+    root = tmp_path / "lib"
+    (root / "_inbox").mkdir(parents=True)
+    (root / "Dân sự").mkdir()
+    (root / "Dân sự" / "luật.pdf").write_bytes(b"old")
+    for name, text in {"[Dân sự] luật.pdf": "Chương I\nĐiều 1. Phạm vi\n1. Khoản một", "ảnh.pdf": "\f", "[X] hỏng.pdf": "broken", "[X] b.docx": "x"}.items():
+        (root / "_inbox" / name).write_bytes(text.encode())
+    read = lambda files: office.read_pdf(files, fake_pdf)
+    told = {r["name"]: r["error"] for r in library.inbox_pass(spark, str(root), "2026-01-01T00:00:00+07:00", read).collect()}
+    assert {n for n, e in told.items() if e is None} == {"[Dân sự] luật.pdf", "ảnh.pdf"} and "no PDF" in told["[X] hỏng.pdf"] and told["[X] b.docx"]
+    assert len(list((root / "_inbox").iterdir())) == 4
+    report = library.inbox_passes(spark, [str(tmp_path / "missing"), str(root)], "2026-01-01T00:00:00+07:00", read, True)
+    assert report[str(root)] == {"processed": 2, "failed": 2} and "error" in report[str(tmp_path / "missing")]
+    assert {p.name for p in (root / "_inbox").iterdir()} == {"[X] hỏng.pdf", "[X] b.docx"}
+    made = json.loads((root / "Dân sự" / "luật (1).json").read_text())
+    assert made["kind"] == "legal" and [u["label"] for u in made["units"]] == ["Chương I", "Điều 1", "Khoản 1"] and made["units"][1]["bbox"] == [50.0, 220.0, 500.0, 235.0] and made["addedAt"].startswith("2026")
+    assert (root / "Dân sự" / "luật (1).pdf").exists() and (root / "Dân sự" / "luật.pdf").read_bytes() == b"old"
+    scan = json.loads((root / "Chưa phân loại" / "ảnh.json").read_text())
+    assert scan["units"][0]["text"].startswith("[trang ảnh scan") and scan["units"][0]["bbox"] == [0.0, 0.0, 595.0, 842.0]
+
+
+def test_pdf_lines_keep_their_place():
+    from types import SimpleNamespace as Obj
+
+    from vellum.sources import office
+
+    line = lambda *spans, y=10: {"bbox": (1, y, 2, y + 5), "spans": [{"text": s} for s in spans]}
+    page = Obj(rect=Obj(width=595, height=842), get_text=lambda kind: {"blocks": [{"lines": [line("a", "b"), line("  ")]}, {"image": 1}, {"lines": [line("c", y=20)]}]})
+    bare = Obj(rect=Obj(width=842, height=595), get_text=lambda kind: {"blocks": []})
+    assert office.pdf_lines([page, bare]) == [(1, 0, 0, "ab", [1.0, 10.0, 2.0, 15.0], 595.0, 842.0), (1, 2, 0, "c", [1.0, 20.0, 2.0, 25.0], 595.0, 842.0), (2, None, None, None, None, 842.0, 595.0)]
+
+
 def test_report_only_writes_nothing(spark, tmp_path):
     assert main(["repair", "--tables", FOLDER, "--out", str(tmp_path)]) == 0 and not list(tmp_path.iterdir())
 

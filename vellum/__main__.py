@@ -20,13 +20,19 @@ def now() -> str:
 
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="vellum", description=__doc__)
-    parser.add_argument("command", choices=("intake", "repair", "slides", "validate", "lexicon"))
-    parser.add_argument("--tables", required=True, help="folder with sidecars, doc_lines, doc_pages and units")
+    parser.add_argument("command", choices=("inbox", "intake", "repair", "slides", "validate", "lexicon"))
+    parser.add_argument("--library", action="append", default=[], help="root of a library with an _inbox; may be given again")
+    parser.add_argument("--tables", help="folder with sidecars, doc_lines, doc_pages and units")
     parser.add_argument("--out", help="folder to write to")
     parser.add_argument("--apply", action="store_true", help="write; without it only a report is made")
     parser.add_argument("--master", default="*", help="cores of a local session")
     args = parser.parse_args(argv)
+    if bool(args.library) != (args.command == "inbox") or not args.library and not args.tables:
+        parser.error("inbox takes --library, the other commands take --tables")
     spark = local_session(args.master)
+    if args.command == "inbox":
+        print(json.dumps(library.inbox_passes(spark, args.library, now(), apply=args.apply), ensure_ascii=False))
+        return 0
     read = lambda name: spark.read.parquet(f"{args.tables}/{name}.parquet")
     units = read("units").dropDuplicates(["unit_id"])
     heads = read("sidecars")

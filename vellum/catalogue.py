@@ -581,17 +581,16 @@ def q_merge_base(spark, d):
 @query(f"WITH {ALERTS} SELECT task::VARCHAR AS task, ts, kind FROM al")
 def q_alert_stream(spark, d):
     """The alerts of q_health_alerts out of the stateful stream, read to its end."""
-    import uuid
     from pathlib import Path
 
-    from vellum.session import shared_folder
+    from vellum.session import scratch
     from vellum.streaming.health import alert_stream
 
     path = Path(f"{d}/events.parquet")
     source = spark.readStream.schema(spark.read.parquet(str(path)).schema).option("maxFilesPerTrigger", 1000)
     events = source.parquet(str(path)) if path.is_dir() else source.option("pathGlobFilter", path.name).parquet(str(path.parent))
     runs = events.select(F.col("user_id").alias("task"), F.col("ts").cast("timestamp").alias("ts"), (F.col("event_type") != "error").alias("ok"))
-    out = f"{shared_folder(spark)}/vellum/{uuid.uuid4().hex}"
+    out = scratch(spark)
     kept = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:

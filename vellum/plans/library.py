@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from dataclasses import dataclass
+from pathlib import Path
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vellum.functions.columns import nfc, stem
 from vellum.operators import anchor, health, lines, recognition, repair, rules, sidecar, slides, structure
-from vellum.sources import discovery, names
+from vellum.session import written
+from vellum.sources import discovery, names, office
+from vellum.streaming import inbox
 
 
 @dataclass(frozen=True)
@@ -44,6 +49,53 @@ def intake(files: DataFrame, doc_lines: DataFrame, pages: DataFrame, added_at: s
     return Outcome(checked.where("size(errors) = 0").drop("errors"), checked.where("size(errors) > 0"), report)
 
 
+def inbox_pass(spark: SparkSession, library: str, added_at: str, read: Callable[[DataFrame], DataFrame] = office.read_pdf, apply: bool = False) -> DataFrame:
+    """(name, error) of the candidates in the inbox of a library, one row each: published, or why not.
+
+    Names are gated before contents are read, a file is read on its own, and its name is
+    made free in its folder. With apply, each valid document is published as a pair
+    beside the others of its subject, in tasks, and its original goes last; without, the
+    pass only tells what it would do. Files of other kinds than PDF need a program that
+    makes a PDF of them first and stay with an error until there is one.
+    """
+    root = Path(library)
+    found = inbox.inbox_files(spark, str(root / "_inbox"), batch=True)
+    files = written(found.select(names.document_id(F.col("path")).alias("doc"), "name", F.url_decode(F.regexp_replace("path", "^file:", "")).alias("path"), "content", "subject", "clean_name"))
+    pdf = F.col("name").rlike(r"(?i)\.pdf$")
+    got = written(read(files.where(pdf).select("doc", "content")))
+    doc_lines = got.where("text is not null").withColumn("line_id", F.xxhash64("doc", "page", "block_no", "line_no"))
+    pages = got.where("page is not null").groupBy("doc", "page").agg(F.max("width").alias("width"), F.max("height").alias("height"))
+    done = intake(files.where(pdf).select("doc", "name"), doc_lines.select("line_id", "doc", "page", "block_no", "line_no", "text", "bbox"), pages, added_at)
+    listed = discovery.listing(spark, library).where(~F.col("rel_path").startswith("_")).select("rel_path")
+    taken = listed.select(F.regexp_replace("rel_path", "/[^/]*$", "").alias("subject"), stem(F.element_at(F.split("rel_path", "/"), -1)).alias("stem")).distinct()
+    free = names.free_stems(files.where(pdf).select("subject", F.col("path").alias("seq"), F.col("clean_name").alias("name")), taken).select(F.col("seq").alias("path"), "stem")
+    ready = done.published.select("doc", "json").join(files.select("doc", "name", "path", "subject"), "doc").join(free, "path").select("name", "path", "json", "subject", "stem")
+    refused = done.refused.select("doc", F.array_join("errors", "; ").alias("error")).join(files.select("doc", "name"), "doc").select("name", "error")
+    unread = got.where("error is not null").select("doc", "error").join(files.select("doc", "name"), "doc").select("name", "error")
+    other = files.where(~pdf).select("name", F.lit("no program makes a PDF of it").alias("error"))
+
+    def publish(row: dict) -> None:
+        folder = root.joinpath(*row["subject"].split("/"))
+        source = Path(row["path"])
+        if not inbox.publish_pair(source, json.loads(row["json"]), folder / f"{row['stem']}.pdf", folder / f"{row['stem']}.json", source):
+            raise OSError("the original cannot be removed")
+
+    told = inbox.published(ready, publish).select(F.col("row").alias("name"), "error") if apply else ready.select("name", F.lit(None).cast("string").alias("error"))
+    return told.unionByName(refused).unionByName(unread).unionByName(other)
+
+
+def inbox_passes(spark: SparkSession, libraries: list[str], added_at: str, read: Callable[[DataFrame], DataFrame] = office.read_pdf, apply: bool = False) -> dict[str, dict]:
+    """What the pass over each library did, or the error that ended it; no library stops another."""
+    out: dict[str, dict] = {}
+    for library in libraries:
+        try:
+            rows = written(inbox_pass(spark, library, added_at, read, apply))
+            out[library] = rows.agg(F.count_if(F.col("error").isNull()).alias("processed"), F.count_if(F.col("error").isNotNull()).alias("failed")).first().asDict()
+        except Exception as problem:
+            out[library] = {"error": f"{type(problem).__name__}: {problem}"[:400]}
+    return out
+
+
 def anchored_text_document(units: DataFrame, page_texts: DataFrame) -> DataFrame:
     """Units of a text document with the pages of its PDF, found by their beginnings."""
     return units.drop("page").join(anchor.anchored(units, page_texts), ["doc", "unit_no"])

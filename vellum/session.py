@@ -45,12 +45,27 @@ def shared_folder(spark: SparkSession) -> str:
 _own: str | None = None
 
 
+_kept: set[str] = set()
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder, below one folder of this application that goes when its driver ends."""
+    own = f"{shared_folder(spark)}/vellum/{spark.sparkContext.applicationId}"
+    if own not in _kept:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _kept.add(own)
+    return f"{own}/{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame) -> DataFrame:
     """The frame as a table written to the shared folder and read again: lineage ends here, rows are computed once.
 
     Unlike checkpoint() it computes nothing twice and later readers take only the
-    columns they need. A lost executor loses nothing of it.
+    columns they need. A lost executor loses nothing of it. Tables go when the driver ends.
     """
-    path = f"{shared_folder(df.sparkSession)}/vellum/{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

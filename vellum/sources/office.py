@@ -77,22 +77,51 @@ def read_pptx(files: DataFrame) -> DataFrame:
     return files.select("doc", "content").mapInPandas(_per_file(lambda b: [(i, 0, t) for i, t in enumerate(pptx_slides(b), 1)]), LINES)
 
 
-def read_pdf(files: DataFrame) -> DataFrame:
-    """Text lines of PDF files, where a PDF library is installed; otherwise a row with an error for each file."""
+PLACED = "doc string, page int, block_no int, line_no int, text string, bbox array<double>, width double, height double, error string"
 
-    def lines(content: bytes) -> list[tuple[int, int, str]]:
+
+def pdf_lines(pdf) -> list[tuple]:
+    """(page, block_no, line_no, text, bbox, width, height) of the lines of an open PDF, in the order of its blocks; a page without text is one row without."""
+    out = []
+    for page_no, page in enumerate(pdf, 1):
+        size = float(page.rect.width), float(page.rect.height)
+        before = len(out)
+        for block_no, block in enumerate(page.get_text("dict")["blocks"]):
+            for line_no, line in enumerate(block.get("lines", ())):
+                text = "".join(span["text"] for span in line["spans"])
+                if text.strip():
+                    out.append((page_no, block_no, line_no, text, [float(x) for x in line["bbox"]], *size))
+        if len(out) == before:
+            out.append((page_no, None, None, None, None, *size))
+    return out
+
+
+def read_pdf(files: DataFrame, lines: Callable[[bytes], list[tuple]] | None = None) -> DataFrame:
+    """Lines of PDF files (doc, content) with their place, as kept_lines() and intake() take them. A file that cannot be read, or all where no PDF library is installed, is a row with an error.
+
+    lines: what gives pdf_lines() of the content of one file; by default an installed library.
+    """
+
+    def installed(content: bytes) -> list[tuple]:
         try:
             import fitz
         except ImportError:
             raise RuntimeError("no PDF library is installed") from None
-        out = []
         with fitz.open(stream=content, filetype="pdf") as pdf:
-            for page_no, page in enumerate(pdf, 1):
-                texts = ["".join(s["text"] for s in line["spans"]).strip() for b in page.get_text("dict")["blocks"] for line in b.get("lines", ())]
-                out += [(page_no, n, t) for n, t in enumerate(t for t in texts if t)]
-        return out
+            return pdf_lines(pdf)
+
+    columns = ["doc", "page", "block_no", "line_no", "text", "bbox", "width", "height", "error"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for doc, content in zip(frame["doc"], frame["content"], strict=True):
+                try:
+                    rows = [(doc, *line, None) for line in (lines or installed)(content)]
+                except Exception as problem:  # one bad file never stops the others
+                    rows = [(doc, *[None] * 7, f"{type(problem).__name__}: {problem}"[:400])]
+                yield pd.DataFrame(rows, columns=columns).astype({"page": "Int32", "block_no": "Int32", "line_no": "Int32"})
 
-    return files.select("doc", "content").mapInPandas(_per_file(lines), LINES)
+    return files.select("doc", "content").mapInPandas(run, PLACED)
 
 
 def with_program(files: DataFrame, program: str, run: Callable[[bytes, str], list[tuple[int, int, str]]]) -> DataFrame:
