@@ -466,6 +466,21 @@ def test_round_trips():
     assert encoding.repair("".join(to_tcvn.get(c, c) for c in plain)) == (plain, "tcvn3")
 
 
+@pytest.mark.parametrize("chart", ["cp1252", "mac_roman", "cp1250", "cp1251", "cp437", "cp850"])
+def test_every_chart_round_trips(chart):
+    for text in ("Điều khoản về nghĩa vụ", "quyền sở hữu của người"):
+        words = []
+        for word in text.split(" "):
+            try:
+                words.append(word.encode("utf-8").decode(chart))
+            except UnicodeDecodeError:
+                words.append(word)
+        garbled = " ".join(words)
+        assert garbled != text and encoding.repair(garbled) == (text, "utf8")
+    for plain in ("решение по делу о разводе", "Příliš žluťoučký kůň", "Zażółć gęślą jaźń", "für größere Fälle", "Ελληνική Δημοκρατία"):
+        assert encoding.repair(plain) == (plain, "")
+
+
 def test_clean_foreign_and_lost():
     for text in (SENTENCE, "für ähnliche Fälle", "el dueño señalado", "où est l'héritier? Le naïf", "Noël à Besançon", "Toà án", "решение по делу", "m² – • …", "Là ai? Ở đây", "một hai?\n- Ba", "", None):
         assert encoding.repair(text) == (text, ""), text

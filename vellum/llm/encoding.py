@@ -33,7 +33,9 @@ def _bytes_of(encoding: str) -> dict[str, int]:
 _CP1252 = {chr(b): b for b in range(256)} | _bytes_of("cp1252")  # codes without a character come through as controls
 _MAC = _bytes_of("mac_roman")
 _CP1258 = {chr(b): b for b in range(128, 160)} | _bytes_of("cp1258")
+#: What UTF-8 may have been read as: Western, Macintosh and Vietnamese; and Central European, Cyrillic and two code pages of DOS, which must end in plain Vietnamese.
 _READ_AS = (_CP1252, _MAC, _CP1258)
+_SELDOM = tuple(_bytes_of(e) for e in ("cp1250", "cp1251", "cp437", "cp850"))
 
 #: What a Vietnamese text of plain characters is made of.
 _PLAIN = frozenset(map(chr, range(128))) | frozenset(LETTERS + "“”‘’–—•…²")
@@ -62,11 +64,13 @@ def _utf8(word: str, scanned: bool = False) -> str:
     given = word
     while True:
         best, cost = None, _cost(word)
-        for chart in _READ_AS:
+        for n, chart in enumerate(_READ_AS + _SELDOM):
             try:
                 step = bytes(chart[c] for c in word).decode("utf-8")
             except (KeyError, UnicodeDecodeError):
                 continue
+            if n >= len(_READ_AS) and not _PLAIN.issuperset(step):
+                continue
             if (now := _cost(step)) < cost or (best is None and now == cost and len(step) < len(word)):
                 best, cost = step, now
         if best is None:
