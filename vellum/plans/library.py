@@ -10,10 +10,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vellum.functions.columns import nfc, stem
+from vellum.functions.columns import nfc, stem, suffix
 from vellum.operators import anchor, health, lines, recognition, repair, rules, sidecar, slides, structure
 from vellum.session import written
-from vellum.sources import discovery, names, office
+from vellum.sources import discovery, images, names, office
 from vellum.streaming import inbox
 
 
@@ -55,29 +55,32 @@ def inbox_pass(spark: SparkSession, library: str, added_at: str, read: Callable[
     Names are gated before contents are read, a file is read on its own, and its name is
     made free in its folder. With apply, each valid document is published as a pair
     beside the others of its subject, in tasks, and its original goes last; without, the
-    pass only tells what it would do. Files of other kinds than PDF need a program that
-    makes a PDF of them first and stay with an error until there is one.
+    pass only tells what it would do. An image becomes a PDF of one page; other kinds
+    need a program that makes a PDF of them first and stay with an error until there is one.
     """
     root = Path(library)
     found = inbox.inbox_files(spark, str(root / "_inbox"), batch=True)
     files = written(found.select(names.document_id(F.col("path")).alias("doc"), "name", F.url_decode(F.regexp_replace("path", "^file:", "")).alias("path"), "content", "subject", "clean_name"))
-    pdf = F.col("name").rlike(r"(?i)\.pdf$")
-    got = written(read(files.where(pdf).select("doc", "content")))
+    ending = suffix(F.col("name"))
+    pdf, image = ending == ".pdf", ending.isin(*rules.IMAGES)
+    made = written(images.image_pages(files.where(image)))
+    shown = made.withColumn("page", F.when(F.col("error").isNull(), F.lit(1)))
+    got = written(read(files.where(pdf).select("doc", "content")).unionByName(shown.drop("pdf"), allowMissingColumns=True))
     doc_lines = got.where("text is not null").withColumn("line_id", F.xxhash64("doc", "page", "block_no", "line_no"))
     pages = got.where("page is not null").groupBy("doc", "page").agg(F.max("width").alias("width"), F.max("height").alias("height"))
-    done = intake(files.where(pdf).select("doc", "name"), doc_lines.select("line_id", "doc", "page", "block_no", "line_no", "text", "bbox"), pages, added_at)
+    done = intake(files.where(pdf | image).select("doc", "name"), doc_lines.select("line_id", "doc", "page", "block_no", "line_no", "text", "bbox"), pages, added_at)
     listed = discovery.listing(spark, library).where(~F.col("rel_path").startswith("_")).select("rel_path")
     taken = listed.select(F.regexp_replace("rel_path", "/[^/]*$", "").alias("subject"), stem(F.element_at(F.split("rel_path", "/"), -1)).alias("stem")).distinct()
-    free = names.free_stems(files.where(pdf).select("subject", F.col("path").alias("seq"), F.col("clean_name").alias("name")), taken).select(F.col("seq").alias("path"), "stem")
-    ready = done.published.select("doc", "json").join(files.select("doc", "name", "path", "subject"), "doc").join(free, "path").select("name", "path", "json", "subject", "stem")
+    free = names.free_stems(files.where(pdf | image).select("subject", F.col("path").alias("seq"), F.col("clean_name").alias("name")), taken).select(F.col("seq").alias("path"), "stem")
+    ready = done.published.select("doc", "json").join(files.select("doc", "name", "path", "subject"), "doc").join(free, "path").join(made.select("doc", "pdf"), "doc", "left").select("name", "path", "json", "subject", "stem", "pdf")
     refused = done.refused.select("doc", F.array_join("errors", "; ").alias("error")).join(files.select("doc", "name"), "doc").select("name", "error")
     unread = got.where("error is not null").select("doc", "error").join(files.select("doc", "name"), "doc").select("name", "error")
-    other = files.where(~pdf).select("name", F.lit("no program makes a PDF of it").alias("error"))
+    other = files.where(~pdf & ~image).select("name", F.lit("no program makes a PDF of it").alias("error"))
 
     def publish(row: dict) -> None:
         folder = root.joinpath(*row["subject"].split("/"))
         source = Path(row["path"])
-        if not inbox.publish_pair(source, json.loads(row["json"]), folder / f"{row['stem']}.pdf", folder / f"{row['stem']}.json", source):
+        if not inbox.publish_pair(bytes(row["pdf"]) if row["pdf"] is not None else source, json.loads(row["json"]), folder / f"{row['stem']}.pdf", folder / f"{row['stem']}.json", source):
             raise OSError("the original cannot be removed")
 
     told = inbox.published(ready, publish).select(F.col("row").alias("name"), "error") if apply else ready.select("name", F.lit(None).cast("string").alias("error"))
@@ -133,10 +136,17 @@ def recognition_queue(sidecars: DataFrame, units: DataFrame, results: DataFrame,
 
 
 def recognised(sidecars: DataFrame, results: DataFrame, units: DataFrame, pages: DataFrame) -> DataFrame:
-    """Units of documents all of whose pages have a result: text blocks of the pages that pass, placeholders for the rest."""
+    """Units of documents all of whose pages have a result: text blocks of the pages that pass, placeholders for the rest.
+
+    A document is left alone if it has another number of pages than its sidecar says, if
+    it no longer holds placeholders and recognised text only, or if no page of it passes.
+    """
     missing = discovery.missing_pages(sidecars, results).select("doc").distinct()
-    complete = results.join(missing, "doc", "left_anti")
-    return recognition.scan_units(complete, recognition.lexicon(units), pages)
+    same = pages.groupBy("doc").agg(F.count_distinct("page").alias("pagecount")).join(sidecars.select("doc", "pagecount"), ["doc", "pagecount"], "left_semi")
+    targets = discovery.inspected(units).where("marker and not foreign").join(same, "doc", "left_semi").select("doc")
+    complete = results.join(missing, "doc", "left_anti").join(targets, "doc", "left_semi")
+    made = recognition.scan_units(complete, recognition.lexicon(units), pages)
+    return made.withColumn("_text", F.max(F.coalesce("ocr", F.lit(False))).over(Window.partitionBy("doc"))).where("_text").drop("_text")
 
 
 def numbered(units: DataFrame, order: list[str]) -> DataFrame:

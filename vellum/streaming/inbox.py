@@ -80,10 +80,13 @@ def write_whole(path: Path, data: str) -> None:
     os.replace(part, path)
 
 
-def publish_pair(source: Path, sidecar: dict, pdf: Path, js: Path, original: Path | None = None) -> bool:
-    """PDF and sidecar together or neither; the original goes last, and the pair is withdrawn if it cannot go."""
+def publish_pair(source: Path | bytes, sidecar: dict, pdf: Path, js: Path, original: Path | None = None) -> bool:
+    """PDF (a file or its content) and sidecar together or neither; the original goes last, and the pair is withdrawn if it cannot go."""
     pdf.parent.mkdir(parents=True, exist_ok=True)
-    shutil.copyfile(source, pdf)
+    if isinstance(source, bytes):
+        pdf.write_bytes(source)
+    else:
+        shutil.copyfile(source, pdf)
     try:
         write_whole(js, json.dumps(sidecar, ensure_ascii=False, indent=2))
     except OSError:
