@@ -30,29 +30,36 @@ from vellum.session import written
 DEPTH = 3
 #: What stands for a number.
 SLOT = "0"
+#: What stands in a template for numbers that differ: a character for private use, which no text is taken to have.
+WILD = "\ue000"
 #: Templates with their documents that the tree of a partition holds before it is given out and begun again.
 HELD = 200_000
 _TOKEN = re.compile(r"\d+|[^\W\d_]+|[^\w\s]|_")
-#: Marks and spaces behind the wording.
-_CLOSING = re.compile(r"[\W_]+\Z")
+_NUMBER = re.compile(r"\d+")
 
 
-def tokens(text: str) -> list[str]:
-    """Words, numbers and marks of a line: letter case, spacing, closing marks and character form do not count."""
+def _bare(text: str) -> str:
+    """A line without letter case, character form and the marks and spaces behind its wording; a line of marks only keeps them."""
     line = latin_shape(text).lower()
-    return _TOKEN.findall(_CLOSING.sub("", line) or line)
+    end = len(line)
+    while end and not line[end - 1].isalnum():
+        end -= 1
+    return line[:end] or line
 
 
 def template(text: str) -> str:
-    """The wording of a line: its tokens with a slot for every number."""
-    return " ".join([SLOT if t.isdecimal() else t for t in tokens(text)])
+    """The wording of a line: its words, numbers and marks, with a slot for every number."""
+    return " ".join(_TOKEN.findall(_NUMBER.sub(SLOT, _bare(text))))
 
 
 class TokenTree:
-    """Origin, then one level for each of the first DEPTH tokens of a template; a leaf maps the words of a template to [tokens, documents].
+    """Origin, then one level for each of the first DEPTH tokens of a template; below them a leaf maps the words of a template to [tokens, documents].
 
-    A token of a template is a word, a number that all its lines share, or None where
-    their numbers differ: a wildcard slot.
+    A token of a template is a word, a number that all its lines share, or WILD where
+    their numbers differ: a wildcard slot. A template of fewer tokens has its leaf under
+    None. Tokens are kept as the line they came from until another line differs, and as
+    nothing once every number is a slot. Documents are one name, or a dict of names once
+    there are several.
     """
 
     def __init__(self) -> None:
@@ -60,44 +67,62 @@ class TokenTree:
         self.held = 0
 
     def add(self, origin: str, doc: str, line: str) -> None:
-        found = tokens(line)
-        if found:
-            words = [SLOT if t.isdecimal() else t for t in found]
-            self._put(origin, words, found, (doc,))
-
-    def _put(self, origin: str, words: list[str], found: list[str | None], docs) -> None:
-        node = self.root.setdefault(origin, {})
+        bare = _bare(line)
+        words = _TOKEN.findall(_NUMBER.sub(SLOT, bare))
+        if words:
+            key = " ".join(words)
+            self._put(origin, words, key, bare if SLOT in words else key, (doc,))
+
+    def _put(self, origin: str, words: list[str], key: str, found: str, docs) -> None:
+        leaf = self.root.get(origin)
+        if leaf is None:
+            leaf = self.root[origin] = {}
         for token in words[:DEPTH]:
-            node = node.setdefault(token, {})
-        leaf = node.setdefault(None, {})
-        key = " ".join(words)
+            child = leaf.get(token)
+            if child is None:
+                child = leaf[token] = {}
+            leaf = child
+        if len(words) < DEPTH:
+            leaf = leaf.setdefault(None, {})
         known = leaf.get(key)
         if known is None:
-            known = leaf[key] = [found, {}]
-        elif known[0] != found:
-            known[0] = [a if a == b else None for a, b in zip(known[0], found, strict=True)]
-        before = len(known[1])
-        known[1].update(dict.fromkeys(docs))
-        self.held += len(known[1]) - before
-
-    def leaves(self) -> Iterator[tuple[str, str, list[str | None], dict[str, None]]]:
+            first, *docs = docs
+            known = leaf[key] = [found, first]
+            self.held += 1
+        elif known[0] is not None and known[0] != found and SLOT in words:
+            same = [a if a == b else WILD for a, b in zip(_TOKEN.findall(known[0]), _TOKEN.findall(found), strict=True)]
+            known[0] = " ".join(same) if any(w == SLOT and t != WILD for w, t in zip(words, same, strict=True)) else None
+        for doc in docs:
+            if isinstance(known[1], str):
+                if known[1] == doc:
+                    continue
+                known[1] = {known[1]: None}
+            before = len(known[1])
+            known[1][doc] = None
+            self.held += len(known[1]) - before
+
+    def leaves(self) -> Iterator[tuple[str, str, str, tuple[str, ...]]]:
         """(origin, words with slots, tokens, documents) of every template."""
 
-        def below(node: dict) -> Iterator[tuple[str, list]]:
+        def below(node: dict, depth: int) -> Iterator[tuple[str, list]]:
+            if depth == DEPTH:
+                yield from node.items()
+                return
             for token, child in node.items():
-                if token is None:
-                    yield from child.items()
-                else:
-                    yield from below(child)
+                yield from child.items() if token is None else below(child, depth + 1)
 
         for origin, node in self.root.items():
-            for key, (found, docs) in below(node):
-                yield origin, key, found, docs
+            for key, (found, docs) in below(node, 0):
+                if found is None:
+                    found = " ".join([WILD if w == SLOT else w for w in key.split(" ")])
+                elif found != key:
+                    found = " ".join(_TOKEN.findall(found))
+                yield origin, key, found, (docs,) if isinstance(docs, str) else tuple(docs)
 
     def merge(self, other: TokenTree) -> TokenTree:
         """This tree with all templates of another; the order of merging does not matter."""
         for origin, key, found, docs in other.leaves():
-            self._put(origin, key.split(" "), found, docs)
+            self._put(origin, key.split(" "), key, found, docs)
         return self
 
 
